@@ -1,0 +1,5 @@
+"""Rolling z-score detector: built-in expressions only."""
+
+from pulsegrid.operators.evaluate import rolling_zscore
+
+__all__ = ["rolling_zscore"]
