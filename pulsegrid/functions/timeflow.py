@@ -44,6 +44,15 @@ def from_epoch(seconds: Column) -> Column:
     return epoch_zero() + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
 
 
+def as_instant(ts: Column) -> Column:
+    """The UTC instant of an NTZ time, for event-time columns of a stream."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def from_instant(ts: Column) -> Column:
+    return from_epoch(F.unix_micros(ts).cast("decimal(24,6)") / F.lit(1_000_000))
+
+
 def plus_seconds(ts: Column, seconds: Column | int) -> Column:
     seconds = seconds if isinstance(seconds, Column) else F.lit(seconds)
     zero = F.lit(0)

@@ -64,9 +64,7 @@ def rolling_batch(root: str, *, keys: Sequence[str] = ("host", "key_"), column:
 def partial_sums(samples: DataFrame, width: int = tf.MINUTE, time: str = "ts") -> DataFrame:
     """Map-side combine of a micro-batch: each task ships one row per (host,
     key, bucket), so one hot series does not ship its raw samples."""
-    flat = samples.select("host", "key_", F.col(time).alias("ts"),
-                          (F.unix_micros(F.col(time)) if dict(samples.dtypes)[time] == "timestamp"
-                           else tf.epoch_micros(F.col(time))).alias("us"), "value")
+    flat = samples.select("host", "key_", F.col(time).alias("ts"), F.unix_micros(F.col(time)).alias("us"), "value")
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -76,8 +74,7 @@ def partial_sums(samples: DataFrame, width: int = tf.MINUTE, time: str = "ts") -
             )
             yield out[["host", "key_", "bucket", "ts", "total", "n"]]
 
-    ts_type = dict(samples.dtypes)[time]
-    return flat.mapInPandas(combine, f"host string, key_ string, bucket long, ts {ts_type}, total double, n long")
+    return flat.mapInPandas(combine, "host string, key_ string, bucket long, ts timestamp, total double, n long")
 
 
 def rolling_state(sums: DataFrame, *, width: int = tf.MINUTE, widths: Sequence[int] = ROLLING_WIDTHS,

@@ -39,7 +39,7 @@ def live_samples(parsed: DataFrame) -> DataFrame:
         clock.alias("clock"),
         F.coalesce(d("ns"), F.lit(0)).alias("ns"),
         F.coalesce(d("value").try_cast("double"), F.lit(0.0)).alias("value"),
-        tf.from_epoch(clock).cast("timestamp").alias("ts"),
+        F.timestamp_seconds(clock).alias("ts"),
     )
 
 
@@ -60,7 +60,7 @@ def closed_means(samples: DataFrame, *, time: str = "ts", width: str = "1 minute
     return (
         samples.groupBy(*keys, F.window(time, width).alias("_w"))
         .agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("n"))
-        .select(*keys, F.col("_w.start").alias("bucket_ts"), "value", "n")
+        .select(*keys, tf.from_instant(F.col("_w.start")).alias("bucket"), "value", "n")
     )
 
 
@@ -68,5 +68,5 @@ def sliding_means(samples: DataFrame, *, time: str = "ts", width: str = "5 minut
     return (
         samples.groupBy(*keys, F.window(time, width, step).alias("_w"))
         .agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("n"))
-        .select(*keys, F.col("_w.end").alias("window_end"), "value", "n")
+        .select(*keys, tf.from_instant(F.col("_w.end")).alias("window_end"), "value", "n")
     )
