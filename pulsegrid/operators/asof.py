@@ -10,63 +10,77 @@ third of all alarms costs no more than one row per bucket.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
 from pulsegrid.functions.metrics import NO_ALARM_YET
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """``out`` = max(``value``) over rows of ``right`` with right time <= left
+    time (``<`` when ``strict``) and the same keys; NULL where there is none."""
+
+    right: DataFrame
+    time: str
+    value: str
+    out: str
+    strict: bool = False
+
+
 def running_max_asof(
     left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    left_time: str,
-    right_time: str,
-    value: str,
-    out: str,
+    lookups: Sequence[Lookup],
     *,
+    on: Sequence[str] = ("host",),
+    time: str = "bucket",
     grid: int | None = None,
     block: int = tf.DAY,
-    strict: bool = False,
 ) -> DataFrame:
-    """Add ``out`` = max(right.value) over right rows of the same ``on`` keys
-    with right_time <= left_time (``<`` when ``strict``); NULL where none.
+    """Add the column of every lookup to ``left`` in one shuffle of ``left``.
 
     ``grid``: bucket width in seconds when every left time lies on that grid.
     ``block``: seconds of history that one task windows per key.
+    Before the main pass the distinct (keys, block) pairs of ``left`` are read,
+    so hand over a stored table when ``left`` is costly to compute.
     """
-    if grid:
-        to_left = tf.bucket_index(F.col(left_time), grid)
-        to_right = (tf.bucket_after if strict else tf.bucket_ceil)(F.col(right_time), grid)
-        span = max(block // grid, 1)
-    else:
-        to_left = tf.epoch_micros(F.col(left_time))
-        to_right = tf.epoch_micros(F.col(right_time)) + F.lit(1 if strict else 0)
-        span = block * 1_000_000
-
+    span = max(block // grid, 1) if grid else block * 1_000_000
     in_block = tf.int_div(F.col("_pos"), span)
-    # NULL keys or times match nothing
-    steps = (
-        right.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*on, right_time)))
-        .groupBy(*on, to_right.alias("_pos"))
-        .agg(F.max(value).alias("_best"))
-        .withColumns({"_block": in_block, "_probe": F.lit(0)})
-    )
-    probes = left.withColumn("_pos", to_left).withColumns({"_block": in_block, "_probe": F.lit(1)})
+    best = [f"_best{i}" for i in range(len(lookups))]
+
+    def right_pos(k: Lookup):
+        if grid:
+            return (tf.bucket_after if k.strict else tf.bucket_ceil)(F.col(k.time), grid)
+        return tf.epoch_micros(F.col(k.time)) + F.lit(int(k.strict))
+
+    # one row per key and position; NULL keys or times match nothing
+    steps = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            k.right.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*on, k.time)))
+            .groupBy(*on, right_pos(k).alias("_pos"))
+            .agg(F.max(k.value).alias(b))
+            for k, b in zip(lookups, best)
+        ],
+    ).withColumns({"_block": in_block, "_probe": F.lit(0)})
+    left_pos = tf.bucket_index(F.col(time), grid) if grid else tf.epoch_micros(F.col(time))
+    probes = left.withColumn("_pos", left_pos).withColumns({"_block": in_block, "_probe": F.lit(1)})
 
-    edges = (
-        steps.select(*on, "_block", "_best")
-        .unionByName(probes.select(*on, "_block"), allowMissingColumns=True)
-        .groupBy(*on, "_block")
-        .agg(F.max("_best").alias("_best"))
-    )
     earlier = Window.partitionBy(*on).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        edges.withColumn("_best", F.max("_best").over(earlier))
-        .where("_best IS NOT NULL")
-        .withColumns({"_pos": F.col("_block") * F.lit(span), "_probe": F.lit(0)})
+        steps.select(*on, "_block", *best)
+        .unionByName(probes.select(*on, "_block"), allowMissingColumns=True)
+        .groupBy(*on, "_block")
+        .agg(*[F.max(b).alias(b) for b in best])
+        .select(
+            *on, "_block", (F.col("_block") * F.lit(span)).alias("_pos"), F.lit(0).alias("_probe"),
+            *[F.max(b).over(earlier).alias(b) for b in best],
+        )
+        .where(" OR ".join(f"{b} IS NOT NULL" for b in best))
     )
 
     upto = (
@@ -76,12 +90,18 @@ def running_max_asof(
     return (
         probes.unionByName(steps, allowMissingColumns=True)
         .unionByName(carry, allowMissingColumns=True)
-        .withColumn(out, F.max("_best").over(upto))
+        .select("*", *[F.max(b).over(upto).alias(k.out) for k, b in zip(lookups, best)])
         .where("_probe = 1")
-        .drop("_pos", "_block", "_probe", "_best")
+        .select(*left.columns, *[k.out for k in lookups])
     )
 
 
+def minutes_since(time: Column, alarm: Column) -> Column:
+    """Minutes since the alarm; the "no alarm yet" sentinel is applied only
+    here, in the last projection."""
+    return F.coalesce(tf.seconds_between(time, alarm) / 60.0, F.lit(float(NO_ALARM_YET)))
+
+
 def time_since_last_alarm(
     rows: DataFrame,
     alarms: DataFrame,
@@ -93,13 +113,11 @@ def time_since_last_alarm(
     grid: int | None = tf.MINUTE,
     block: int = tf.DAY,
 ) -> DataFrame:
-    """Minutes since the latest alarm at or before each row; the sentinel is
-    applied only here, in the last projection."""
-    joined = running_max_asof(
-        rows, alarms, [host], time, alarm_time, alarm_time, "_last_alarm", grid=grid, block=block
+    """Minutes since the latest alarm at or before each row."""
+    found = running_max_asof(
+        rows, [Lookup(alarms, alarm_time, alarm_time, "_last_alarm")], on=[host], time=time, grid=grid, block=block
     )
-    minutes = tf.seconds_between(F.col(time), F.col("_last_alarm")) / 60.0
-    return joined.withColumn(out, F.coalesce(minutes, F.lit(float(NO_ALARM_YET)))).drop("_last_alarm")
+    return found.withColumn(out, minutes_since(F.col(time), F.col("_last_alarm"))).drop("_last_alarm")
 
 
 def alarm_chain(

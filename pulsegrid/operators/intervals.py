@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.operators.asof import running_max_asof
+from pulsegrid.operators.asof import Lookup, running_max_asof
 
 # 2**40 buckets is far beyond any time axis; it only bounds the level list
 MAX_LEVEL = 40
@@ -37,9 +37,13 @@ def in_any_window(
     block: int = tf.DAY,
 ) -> DataFrame:
     """1 where the row lies in a half-open window of the same keys, else 0."""
-    latest = running_max_asof(rows, windows, on, time, start, end, "_latest_end", grid=grid, block=block)
-    inside = F.coalesce(F.col("_latest_end") > F.col(time), F.lit(False))
-    return latest.withColumn(out, inside.cast("int")).drop("_latest_end")
+    look = Lookup(windows, start, end, "_latest_end")
+    latest = running_max_asof(rows, [look], on=on, time=time, grid=grid, block=block)
+    return latest.withColumn(out, still_open(F.col(time), F.col("_latest_end"))).drop("_latest_end")
+
+
+def still_open(time: Column, latest_end: Column) -> Column:
+    return F.coalesce(latest_end > time, F.lit(False)).cast("int")
 
 
 def _window_blocks(lo: Column, hi: Column) -> Column:
@@ -183,7 +187,7 @@ def alarm_overlap(
     All tests ask only for the latest alarm before a point in time.
     """
     look = lambda df, t, out_col, strict: running_max_asof(
-        df, alarms, on, t, alarm_time, alarm_time, out_col, block=block, strict=strict
+        df, [Lookup(alarms, alarm_time, alarm_time, out_col, strict)], on=on, time=t, block=block
     )
     ends = lambda c: tf.plus_seconds(F.col(c), alarm_len)
     if mode == "overlap":

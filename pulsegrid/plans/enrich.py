@@ -37,17 +37,24 @@ def enriched(wide: DataFrame, metrics: Sequence[str], alarms: DataFrame | None,
         matrix.named_hosts(wide).select("host", "bucket", *[f"`{m}`" for m in metrics]), metrics,
         width=width, widths=widths, block=block,
     ).drop(*metrics)
-    at = {"grid": width, "block": block * width}
     spans = windows.select("host", "start_ts", "end_ts") if windows is not None else None
+    lookups = []
     if alarms is not None:
-        out = asof.time_since_last_alarm(out, alarms, alarm_time=alarm_time, **at)
+        lookups.append(asof.Lookup(alarms, alarm_time, alarm_time, "_last_alarm"))
         after = alarms.select(
             "host", F.col(alarm_time).alias("start_ts"), tf.plus_seconds(F.col(alarm_time), label_seconds).alias("end_ts")
         )
         spans = after if spans is None else after.unionByName(spans)
     if spans is None:
         return out.withColumn("is_anomaly", F.lit(0))
-    return intervals.in_any_window(out, spans, **at)
+    lookups.append(asof.Lookup(spans, "start_ts", "end_ts", "_latest_end"))
+    # both questions are answered by one shuffle of the feature rows
+    found = asof.running_max_asof(out, lookups, grid=width, block=block * width)
+    now = F.col("bucket")
+    since = {} if alarms is None else {"time_since_last_alarm": asof.minutes_since(now, F.col("_last_alarm"))}
+    return found.withColumns({**since, "is_anomaly": intervals.still_open(now, F.col("_latest_end"))}).drop(
+        "_last_alarm", "_latest_end"
+    )
 
 
 def enriched_range(wide: DataFrame, metrics: Sequence[str], alarms, windows, start: Column, end: Column, *,

@@ -607,8 +607,10 @@ SELECT host, bucket, {", ".join(f"round({c} + 3e-8, 6) AS {c}" for c in CLICK_CO
 
 
 def enriched(spark, sf):
+    # the matrix is a table of its own; features read it, not the raw samples
+    matrix_table = materialize(roles.wide(spark, sf), "matrix")
     out = enrich.enriched(
-        roles.wide(spark, sf), ["click"], roles.alarms(spark, sf), roles.windows(spark, sf),
+        matrix_table, ["click"], roles.alarms(spark, sf), roles.windows(spark, sf),
         label_seconds=10 * tf.HOUR, **ROLL,
     )
     return rounded(out, *CLICK_COLS, "time_since_last_alarm")

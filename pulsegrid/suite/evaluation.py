@@ -238,11 +238,9 @@ SQL_TWO = f"""{ROLLED}, {roles.SC}, {roles.W}, {roles.sql_predictions(0.99, '1')
 
 def two_runs(spark, sf):
     """Metrics of the same scores at quantile 0.99 (new) and 0.95 (active)."""
-    stored = materialize(roles.scores(spark, sf), "scores")
-    train, test = evaluate.time_split(stored, roles.split())
+    train, test = evaluate.time_split(roles.labelled_scores(spark, sf), roles.split())
     limits = materialize(evaluate.thresholds(train, [0.99, 0.95]), "limits")
-    labelled = materialize(intervals.in_any_window(test, roles.windows(spark, sf), out="y_true", **roles.GRID), "labelled")
-    return [evaluate.prf(evaluate.apply_thresholds(labelled, limits.where(F.col("prob") == q))) for q in (0.99, 0.95)]
+    return [evaluate.prf(evaluate.apply_thresholds(test, limits.where(F.col("prob") == q))) for q in (0.99, 0.95)]
 
 
 @query("metric_reconcile", f"""{SQL_TWO} SELECT n.model, n.precision, a.precision AS stored_precision, n.recall, a.recall AS stored_recall,

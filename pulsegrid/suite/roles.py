@@ -86,13 +86,16 @@ def scores(spark, sf) -> DataFrame:
     return evaluate.rolling_zscore(rolled_click(spark, sf), "click", WIDTHS)
 
 
+def labelled_scores(spark, sf) -> DataFrame:
+    """All scores with their truth, stored: thresholds read them three times."""
+    truth = intervals.in_any_window(scores(spark, sf), windows(spark, sf), out="y_true", **GRID)
+    return materialize(truth, "scores")
+
+
 def predictions(spark, sf, prob: float = 0.99) -> DataFrame:
     """Test-side predictions of z5, z30 and z60, with truth from the windows."""
-    stored = materialize(scores(spark, sf), "scores")
-    train, test = evaluate.time_split(stored, split())
-    limits = evaluate.thresholds(train, [prob])
-    flagged = evaluate.apply_thresholds(test, limits)
-    return intervals.in_any_window(flagged, windows(spark, sf), out="y_true", **GRID)
+    train, test = evaluate.time_split(labelled_scores(spark, sf), split())
+    return evaluate.apply_thresholds(test, evaluate.thresholds(train, [prob]))
 
 
 def alerts(spark, sf) -> DataFrame:
