@@ -23,6 +23,11 @@ NO_ALARM_YET = 999999
 FORBIDDEN_FEATURES = ("datetime_minute", "host", "is_anomaly", "time_since_last_alarm")
 
 
+def named(column: str) -> Column:
+    """A column by its plain name; metric keys hold dots, commas and brackets."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def metric_key(key: Column, prefixes=METRIC_PREFIXES) -> Column:
     starts = reduce(lambda a, b: a | b, [key.startswith(p) for p in prefixes])
     return starts & ~key.contains(HOURLY_MARK) & ~key.isin(*META_COLUMNS)

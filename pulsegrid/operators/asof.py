@@ -92,7 +92,7 @@ def running_max_asof(
         .unionByName(carry, allowMissingColumns=True)
         .select("*", *[F.max(b).over(upto).alias(k.out) for k, b in zip(lookups, best)])
         .where("_probe = 1")
-        .select(*left.columns, *[k.out for k in lookups])
+        .drop("_pos", "_block", "_probe", *best)
     )
 
 

@@ -40,9 +40,11 @@ class Boundary:
 
 def kernel_width(rows: DataFrame, features: str) -> tuple[int, float]:
     """(number of features F, 1 / (F * variance of all entries))."""
-    entries = rows.select(F.size(features).alias("f"), F.explode(features).alias("v"))
-    r = entries.agg(F.max("f").alias("f"), F.var_pop(F.col("v").cast("double")).alias("v")).first()
-    return r["f"], 1.0 / (r["f"] * r["v"]) if r["v"] else 1.0
+    total = lambda f: F.aggregate(features, F.lit(0.0), lambda acc, v: acc + f(v.cast("double")))
+    per_row = rows.select(F.size(features).alias("f"), total(lambda v: v).alias("s"), total(lambda v: v * v).alias("q"))
+    r = per_row.agg(F.max("f").alias("f"), F.sum("f").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
+    variance = r["q"] / r["n"] - (r["s"] / r["n"]) ** 2
+    return r["f"], 1.0 / (r["f"] * variance) if variance > 0 else 1.0
 
 
 def fit(rows: DataFrame, features: str, *, nu: float = 0.01, dim: int = DIM, steps: int = STEPS, seed: int = SEED) -> Boundary:

@@ -6,12 +6,11 @@ The flattened window of a host is projected on its principal components
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,18 +27,10 @@ def fit(windows: DataFrame, *, sequence: str = "sequence", latent: int = LATENT)
     rows = flat(windows, sequence).select(array_to_vector("_flat").alias("v"))
     length = len(windows.select(F.flatten(sequence).alias("f")).first()["f"])
     model: PCAModel = PCA(k=min(latent, length), inputCol="v", outputCol="p").fit(rows)
-    mean = _mean(windows, sequence)
+    mean = rows.select(Summarizer.mean(rows["v"]).alias("m")).first()["m"].toArray()
     return mean, model.pc.toArray()
 
 
-def _mean(windows: DataFrame, sequence: str) -> np.ndarray:
-    """Column means of the flattened windows, length x features numbers."""
-    got = (
-        flat(windows, sequence).select(F.posexplode("_flat").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m"))
-    ).toPandas()
-    return got.sort_values("i")["m"].to_numpy()
-
-
 def score(windows: DataFrame, model: tuple[np.ndarray, np.ndarray], n_features: int, *, sequence: str = "sequence", out: str = "score") -> DataFrame:
     mean, pc = model
 

@@ -84,9 +84,10 @@ def thresholds(scores: DataFrame, probs: Sequence[float]) -> DataFrame:
 
 def apply_thresholds(scores: DataFrame, limits: DataFrame) -> DataFrame:
     """y_pred = 1 when the score is strictly above the model's threshold; an
-    unscorable row is 0.  ``limits`` has one row per model."""
+    unscorable row is 0.  ``limits`` has one row per model and comes settled,
+    so that scores are not shuffled by their few models."""
     flag = F.coalesce((F.col("score") > F.col("threshold")).cast("int"), F.lit(0))
-    return scores.join(F.broadcast(limits.select("model", "threshold")), "model").withColumn("y_pred", flag)
+    return scores.join(limits.select("model", "threshold"), "model").withColumn("y_pred", flag)
 
 
 def prf(predictions: DataFrame, by: Sequence[str] = ("model",), digits: int | None = 4) -> DataFrame:

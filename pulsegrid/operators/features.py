@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import ratios
+from pulsegrid.functions.metrics import HOURLY_MARK, named
 from pulsegrid.operators.quantiles import exact_quantiles
 
 # Fixed values of feature selection.
@@ -20,20 +21,20 @@ SHIFT_LIMIT = 2.0
 
 def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """(ids..., feature, value), NULL values kept."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), named(c).cast("double").alias("value")) for c in columns])
     return df.select(*ids, F.explode(pairs).alias("_p")).select(*ids, "_p.feature", "_p.value")
 
 
 def _one_row_to_long(df: DataFrame, columns: Sequence[str], aggs: dict) -> DataFrame:
     """One pass over a wide table, statistics turned into one row per feature."""
-    named = [fn(F.col(c).cast("double")).alias(f"{i}:{stat}") for i, c in enumerate(columns) for stat, fn in aggs.items()]
+    cells = [fn(named(c).cast("double")).alias(f"{i}:{stat}") for i, c in enumerate(columns) for stat, fn in aggs.items()]
     rows = F.array(
         *[
             F.struct(F.lit(c).alias("feature"), *[F.col(f"{i}:{stat}").alias(stat) for stat in aggs])
             for i, c in enumerate(columns)
         ]
     )
-    return df.agg(*named).select(F.explode(rows).alias("_r")).select("_r.*")
+    return df.agg(*cells).select(F.explode(rows).alias("_r")).select("_r.*")
 
 
 def variances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -68,7 +69,7 @@ def scale_columns(df: DataFrame, stats: DataFrame, columns: Sequence[str], imput
     out = {}
     for c in columns:
         mean, scale = F.lit(known[c]["mean"]), F.lit(known[c]["scale"])
-        out[c] = (ratios.impute(F.col(c).cast("double"), mean, impute) - mean) / scale
+        out[c] = (ratios.impute(named(c).cast("double"), mean, impute) - mean) / scale
     return df.withColumns(out)
 
 
@@ -80,7 +81,7 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     # centring keeps the sums of squares well conditioned; F numbers
-    first = df.agg(*[F.avg(F.col(c).cast("double")).alias(str(i)) for i, c in enumerate(columns)]).first()
+    first = df.agg(*[F.avg(named(c).cast("double")).alias(str(i)) for i, c in enumerate(columns)]).first()
     centre = np.array([v if v is not None else 0.0 for v in first], dtype=float)
 
     def gram(batches):
@@ -100,7 +101,7 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             sjj = (sums[3].T)[i, j]
             yield pd.DataFrame({"i": i, "j": j, "n": n, "si": si, "sj": sj, "sii": sii, "sjj": sjj, "sij": sij})
 
-    parts = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)]).mapInPandas(
+    parts = df.select(*[named(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)]).mapInPandas(
         gram, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double"
     )
     s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
@@ -110,7 +111,7 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(c) for c in columns])
     corr = F.when((F.col("n") > 1) & (vi > 0) & (vj > 0), F.abs(cov / F.sqrt(vi * vj)))
     return s.select(
-        names.getItem(F.col("i")).alias("feature_a"), names.getItem(F.col("j")).alias("feature_b"),
+        names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"),
         F.col("n").cast("long").alias("n"), F.least(corr, F.lit(1.0)).alias("corr"),
     )
 
@@ -151,8 +152,6 @@ def median_shift(df: DataFrame, columns: Sequence[str], is_test, limit: float =
 
 def feature_set_check(selected: DataFrame, spec: DataFrame, top_k: int, forbidden: Sequence[str]) -> DataFrame:
     """One row per rule on the set of feature names, with the offending count."""
-    from pulsegrid.functions.metrics import HOURLY_MARK
-
     f = F.col("feature")
     both = selected.select("feature", F.lit(1).alias("s"), F.lit(0).alias("p")).unionByName(
         spec.select("feature", F.lit(0).alias("s"), F.lit(1).alias("p"))

@@ -77,14 +77,13 @@ def _tiles(windows: DataFrame, start: str, end: str, grid: int) -> DataFrame:
     )
 
 
-def _at_levels(rows: DataFrame, tiles: DataFrame, time: str, grid: int, keep_all: bool) -> DataFrame:
+def _at_levels(rows: DataFrame, tiles: DataFrame, time: str, grid: int) -> DataFrame:
     """Each row once per level that occurs among the tiles (at most a few)."""
     top = tiles.agg(F.max("_level")).scalar()
     levels = F.sequence(F.lit(0), top)
-    pick = F.explode_outer if keep_all else F.explode
     pos = tf.bucket_index(F.col(time), grid)
     size = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_level"))
-    return rows.withColumn("_level", pick(levels)).withColumn("_node", tf.int_div(pos, size))
+    return rows.withColumn("_level", F.explode(levels)).withColumn("_node", tf.int_div(pos, size))
 
 
 def first_window_label(
@@ -106,16 +105,18 @@ def first_window_label(
     best = tiles.groupBy(*on, "_level", "_node").agg(
         F.min(F.struct(F.col(order).alias("o"), F.col(label).alias("l"))).alias("_first")
     )
-    return (
-        _at_levels(rows.select(*row_key), tiles, time, grid, keep_all=True)
-        .join(best, [*on, "_level", "_node"], "left")
+    keys = rows.select(*row_key)
+    # most rows lie in no window and drop out here, before the second shuffle
+    found = (
+        _at_levels(keys, tiles, time, grid)
+        .join(best, [*on, "_level", "_node"])
         .groupBy(*row_key)
         .agg(F.min("_first").alias("_first"))
-        .select(
-            *row_key,
-            F.col("_first").isNotNull().cast("int").alias("y_true"),
-            F.coalesce(F.col("_first.l"), F.lit("")).alias("anomaly"),
-        )
+    )
+    return keys.join(found, list(row_key), "left").select(
+        *row_key,
+        F.col("_first").isNotNull().cast("int").alias("y_true"),
+        F.coalesce(F.col("_first.l"), F.lit("")).alias("anomaly"),
     )
 
 
@@ -139,7 +140,7 @@ def compare_windows(
     tiles = _tiles(windows.select(*window_key), start, end, grid)
     hit = F.col(predicted) == 1
     summed = (
-        _at_levels(predictions.select(model, *on, time, predicted), tiles, time, grid, keep_all=False)
+        _at_levels(predictions.select(model, *on, time, predicted), tiles, time, grid)
         .groupBy(model, *on, "_level", "_node")
         .agg(
             F.count(F.lit(1)).alias("n"),

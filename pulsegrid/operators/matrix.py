@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.functions.metrics import has_host
+from pulsegrid.functions.metrics import has_host, named
+
+
+# more metric keys than this are averaged per key before they become columns
+DIRECT_KEYS = 16
 
 
 def join_dimensions(facts: DataFrame, links: Sequence[tuple[DataFrame, Sequence[str] | str]]) -> DataFrame:
@@ -34,24 +38,28 @@ def pivot_mean(
 ) -> DataFrame:
     """(bucket, host) x key mean.
 
-    One hash aggregate with a conditional mean per key: partial sums are built
-    before the only shuffle, so a hot host ships one row per bucket and task.
+    Few keys: one hash aggregate with a conditional mean per key, so that
+    partial sums are built before the only shuffle.  Many keys: means per
+    (host, key, bucket) first, since testing every key for every raw sample
+    would cost more than a second, far smaller shuffle.
     """
+    samples = samples.where(F.col(key).isin(*keys))
+    bucket = tf.bucket_start(F.col(time), width)
+    if len(keys) > DIRECT_KEYS:
+        samples = long_means(samples, width=width, host=host, time=time, key=key, value=value)
+        bucket, host, key, value = F.col("bucket"), "host", "key_", "value"
     means = [F.avg(F.when(F.col(key) == k, F.col(value))).alias(k) for k in keys]
-    return (
-        samples.where(F.col(key).isin(*keys))
-        .groupBy(F.col(host), tf.bucket_start(F.col(time), width).alias("bucket"))
-        .agg(*means)
-    )
+    return samples.groupBy(F.col(host).alias("host"), bucket.alias("bucket")).agg(*means)
 
 
 def long_means(
     samples: DataFrame, *, width: int = tf.MINUTE, host: str = "host", time: str = "ts",
     key: str = "key_", value: str = "value",
 ) -> DataFrame:
-    return samples.groupBy(host, key, tf.bucket_start(F.col(time), width).alias("bucket")).agg(
-        F.avg(value).alias("value")
-    )
+    """The long table (host, key_, bucket, value)."""
+    return samples.groupBy(
+        F.col(host).alias("host"), F.col(key).alias("key_"), tf.bucket_start(F.col(time), width).alias("bucket")
+    ).agg(F.avg(value).alias("value"))
 
 
 def pivot_rollups(
@@ -65,16 +73,19 @@ def pivot_rollups(
 ) -> DataFrame:
     """Mean of the stored roll-ups per (period, host, key), all three suffixes
     from one aggregate."""
+    columns = {"avg": "value_avg", "min": "value_min", "max": "value_max"}
+    trends = trends.where(F.col(key).isin(*keys))
+    period = tf.bucket_start(F.col(time), width)
+    if len(keys) > DIRECT_KEYS:
+        trends = trends.groupBy(F.col(host).alias("host"), F.col(key).alias("key_"), period.alias("period")).agg(
+            *[F.avg(c).alias(c) for c in columns.values()]
+        )
+        period, host, key = F.col("period"), "host", "key_"
     stats = [
-        F.avg(F.when(F.col(key) == k, F.col(col))).alias(f"{k}_hourly_{suffix}")
-        for k in keys
-        for suffix, col in (("avg", "value_avg"), ("min", "value_min"), ("max", "value_max"))
+        F.avg(F.when(F.col(key) == k, F.col(c))).alias(f"{k}_hourly_{suffix}")
+        for k in keys for suffix, c in columns.items()
     ]
-    return (
-        trends.where(F.col(key).isin(*keys))
-        .groupBy(F.col(host), tf.bucket_start(F.col(time), width).alias("period"))
-        .agg(*stats)
-    )
+    return trends.groupBy(F.col(host).alias("host"), period.alias("period")).agg(*stats)
 
 
 def attach_rollups(matrix: DataFrame, rollups: DataFrame, *, width: int = tf.HOUR) -> DataFrame:
@@ -104,7 +115,7 @@ def forward_fill(
         .orderBy(time)
         .rowsBetween(-limit, Window.currentRow)
     )
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    return df.withColumns({c: F.last(named(c), ignorenulls=True).over(w) for c in columns})
 
 
 def drop_sparse(df: DataFrame, share: float = 0.7) -> DataFrame:

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.session import settle
+
 LOG_BINS = 4096
 LINEAR_BINS = 65536
 
@@ -21,10 +23,10 @@ LINEAR_BINS = 65536
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys..., prob, quantile), linear interpolation between order statistics.
 
-    NULL and NaN values are skipped.  ``keys`` must have few groups (models,
-    features): the rank targets, at most two rows per group and probability,
-    are joined as the small side.  ``df`` is read three times; pass a stored
-    table when it is costly to compute.
+    NULL and NaN values are skipped.  ``df`` is read three times; pass a stored
+    table when it is costly to compute.  The rank targets, at most two rows per
+    group and probability, are settled before each join: with few groups
+    (models, features) Spark broadcasts them, with many it shuffles.
     """
     x = F.col(value).cast("double")
     log_bin = F.floor(F.signum("x") * F.log1p(F.abs(F.col("x"))) * F.lit(float(LOG_BINS)))
@@ -56,29 +58,32 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         .where(holds_rank("r"))
         .select(*keys, "prob", "part", "upper", "b1", "lo", "hi", (F.col("r") - F.col("upto") + F.col("n")).alias("r"))
     )
+    t1 = settle(t1, "quantile-bins")
 
     # 2. linear histogram inside the wanted bins
     span = F.col("hi") - F.col("lo")
     linear_bin = F.when(span > 0, F.floor((F.col("x") - F.col("lo")) / span * F.lit(float(LINEAR_BINS)))).otherwise(0)
     bins1 = t1.select(*keys, "b1", "lo", "hi").distinct()
-    fine = rows.join(F.broadcast(bins1), [*keys, "b1"]).withColumn("b2", linear_bin.cast("long")).drop("lo", "hi")
+    fine = rows.join(bins1, [*keys, "b1"]).withColumn("b2", linear_bin.cast("long")).drop("lo", "hi")
     h2 = fine.groupBy(*keys, "b1", "b2").agg(F.count(F.lit(1)).alias("n"))
     h2 = h2.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "b1").orderBy("b2").rowsBetween(*upto)))
     t2 = (
-        h2.join(F.broadcast(t1.drop("lo", "hi")), [*keys, "b1"])
+        h2.join(t1.drop("lo", "hi"), [*keys, "b1"])
         .where(holds_rank("r"))
         .withColumn("r", F.col("r") - F.col("upto") + F.col("n"))
         .drop("n", "upto")
     )
+    t2 = settle(t2, "quantile-bins")
 
     # 3. distinct values of the final bins
     bins2 = t2.select(*keys, "b1", "b2").distinct()
-    h3 = fine.join(F.broadcast(bins2), [*keys, "b1", "b2"]).groupBy(*keys, "b1", "b2", "x").agg(
+    h3 = fine.join(bins2, [*keys, "b1", "b2"]).groupBy(*keys, "b1", "b2", "x").agg(
         F.count(F.lit(1)).alias("n")
     )
     h3 = h3.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "b1", "b2").orderBy("x").rowsBetween(*upto)))
-    found = h3.join(F.broadcast(t2), [*keys, "b1", "b2"]).where(holds_rank("r"))
+    found = h3.join(t2, [*keys, "b1", "b2"]).where(holds_rank("r"))
 
     low = F.max(F.when(~F.col("upper"), F.col("x")))
     high = F.coalesce(F.max(F.when(F.col("upper"), F.col("x"))), low)
-    return found.groupBy(*keys, "prob", "part").agg((low + (high - low) * F.col("part")).alias("quantile")).drop("part")
+    done = found.groupBy(*keys, "prob", "part").agg((low + (high - low) * F.col("part")).alias("quantile")).drop("part")
+    return settle(done, "quantiles")

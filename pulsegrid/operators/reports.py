@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
+from pulsegrid.functions.metrics import named
 from pulsegrid.functions.ratios import ratio
 
 # Page and look-back bounds, report rounding.
@@ -42,7 +43,7 @@ def feature_page(df: DataFrame, *, host: str | None = None, start: Column | None
         unknown = [c for c in columns if c not in df.columns]
         if unknown:
             raise ValueError(f"unknown column(s): {unknown}")
-        df = df.select(*keys, *[f"`{c}`" for c in columns if c not in keys])
+        df = df.select(*keys, *[named(c) for c in columns if c not in keys])
     hit = _filtered(df, time, {"host": host}, start, end)
     page = hit.orderBy(time, "host").offset(max(0, int(offset))).limit(clamp(limit, 1, FEATURE_PAGE_MAX))
     return page, hit.agg(F.count(F.lit(1)).alias("total"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.functions.metrics import ROLLING_WIDTHS
+from pulsegrid.functions.metrics import ROLLING_WIDTHS, named
 
 
 def _with_lookback(df: DataFrame, pos: Column, reach: int, block: int) -> DataFrame:
@@ -50,7 +50,7 @@ def rolling_stats(
     for c in columns:
         for w in widths:
             frame = order.rangeBetween(-(w - 1), Window.currentRow)
-            x = F.col(c)
+            x = named(c)
             if "avg" in stats:
                 out[name(c, "avg", w)] = F.avg(x).over(frame)
             if "std" in stats:
@@ -63,6 +63,17 @@ def rolling_stats(
     return placed.withColumns(out).where("_home").drop("_pos", "_block", "_home")
 
 
+def rolling_long(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = ("host",), time: str = "bucket", **kw) -> DataFrame:
+    """The same statistics as rows (keys, time, key_, value, value_<stat>_<w>m).
+
+    For matrices of hundreds of metrics: every (host, metric, block) is its own
+    small window task, and the plan holds nine expressions instead of nine per
+    metric.  Pivot only the features a model selected."""
+    cells = F.array(*[F.struct(F.lit(c).alias("key_"), named(c).cast("double").alias("value")) for c in columns])
+    long = df.select(*keys, time, F.explode(cells).alias("_c")).select(*keys, time, "_c.*")
+    return rolling_stats(long, ["value"], keys=[*keys, "key_"], time=time, **kw)
+
+
 def rolling_with_history(test: DataFrame, history: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
     """Rolling features of ``test`` rows that also see earlier rows of
     ``history``; only test rows come back.  Frames look backward only, so no
@@ -141,7 +152,7 @@ def sequences(df: DataFrame, columns: Sequence[str], *, length: int = 60,
     Rows without a full sequence are left out in the row form.  Sequences never
     cross a host.  Give only the few columns a model needs: data grows by
     ``length``."""
-    vector = F.array(*[F.col(c).cast("double") for c in columns])
+    vector = F.array(*[named(c).cast("double") for c in columns])
     base = df.withColumn("_vec", vector)
     if by == "rows":
         numbered = number_rows(base, keys=keys, time=time, width=width, block=block, out="_row")

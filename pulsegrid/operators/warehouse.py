@@ -32,7 +32,7 @@ def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequ
     stored = spark.read.option("mergeSchema", True).parquet(path).join(touched, partition, "left_semi")
     merged = materialize(upsert(stored, new, keys), "upsert")
     (
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
     )
 
@@ -59,7 +59,7 @@ def load_chunks(spark: SparkSession, chunks: DataFrame, table: str, ledger: str,
     if table_exists(spark, table):
         upsert_partitions(spark, table, todo, keys, partition)
     else:
-        todo.write.partitionBy(partition).parquet(table)
+        todo.hint("rebalance", partition).write.partitionBy(partition).parquet(table)
     added = ledger_entries(todo, key)
     known = read_or_empty(spark, ledger, f"{key} string, row_count long")
     fresh = materialize(added.join(known.select(key), key, "left_anti"), "ledger")

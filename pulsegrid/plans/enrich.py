@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.functions.metrics import ROLLING_WIDTHS
+from pulsegrid.functions.metrics import ROLLING_WIDTHS, named
 from pulsegrid.operators import asof, intervals, matrix, rolling
 from pulsegrid.sources.monitoring import in_range
 
@@ -34,7 +34,7 @@ def enriched(wide: DataFrame, metrics: Sequence[str], alarms: DataFrame | None,
     Without an alarm source there is no time-since-alarm column and labels come
     from the windows alone."""
     out = rolling.rolling_stats(
-        matrix.named_hosts(wide).select("host", "bucket", *[f"`{m}`" for m in metrics]), metrics,
+        matrix.named_hosts(wide).select("host", "bucket", *[named(m) for m in metrics]), metrics,
         width=width, widths=widths, block=block,
     ).drop(*metrics)
     spans = windows.select("host", "start_ts", "end_ts") if windows is not None else None

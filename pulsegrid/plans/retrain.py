@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
+from pulsegrid.functions.metrics import named
 from pulsegrid.operators import evaluate, features, intervals, rolling
 from pulsegrid.operators.detectors import iforest, ocsvm, seqrecon
-from pulsegrid.session import materialize
+from pulsegrid.session import materialize, settle
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,7 @@ class Settings:
     seq_quantile: float = 0.95
     top_k: int = 300
     seq_len: int = 60
+    seq_features: int = 8
     impute: str = "mean"
     width: int = tf.MINUTE
     widths: Sequence[int] = (5, 30, 60)
@@ -54,11 +56,11 @@ def run(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
 
     selected = features.select_features(train, candidates, top_k=s.top_k)
     stats = features.scaler_stats(train, selected, s.impute)
-    scaled = features.scale_columns(table.select(*s.row_key, "side", *selected), stats, selected, s.impute)
+    scaled = features.scale_columns(table.select(*s.row_key, "side", *[named(c) for c in selected]), stats, selected, s.impute)
     truth = intervals.first_window_label(table, windows, row_key=s.row_key, grid=s.width)
     rows = materialize(
         scaled.join(truth, list(s.row_key)).select(
-            *s.row_key, "side", "y_true", "anomaly", F.array(*[F.col(c) for c in selected]).alias("x"), *selected
+            *s.row_key, "side", "y_true", "anomaly", F.array(*[named(c) for c in selected]).alias("x"), *[named(c) for c in selected]
         ),
         "scaled",
     )
@@ -70,10 +72,10 @@ def run(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
         iforest.score(rows, forest, "x").withColumn("model", F.lit("isolation_forest")),
         ocsvm.score(rows, boundary, "x").withColumn("model", F.lit("one_class")),
     ]
-    # sequences of the latent-size-limited model use the highest-variance features
-    lead = selected[:8]
+    # a sequence repeats every value seq_len times, so the model takes the lead features only
+    lead = selected[: s.seq_features]
     seqs = materialize(
-        rolling.sequences(rows.select(*s.row_key, "side", "y_true", "anomaly", *lead), lead, length=s.seq_len,
+        rolling.sequences(rows.select(*s.row_key, "side", "y_true", "anomaly", *[named(c) for c in lead]), lead, length=s.seq_len,
                           width=s.width, block=s.block),
         "sequences",
     )
@@ -92,7 +94,7 @@ def run(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
     limits = evaluate.thresholds(base, [s.thr_quantile, s.seq_quantile]).where(
         F.col("prob") == F.when(F.col("model") == "sequence", s.seq_quantile).otherwise(s.thr_quantile)
     )
-    limits = materialize(limits, "thresholds")
+    limits = settle(limits, "thresholds")
     predictions = materialize(evaluate.apply_thresholds(scores.where("side = 'test'"), limits), "predictions")
     return {
         "gate": gate,

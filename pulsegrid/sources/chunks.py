@@ -21,11 +21,11 @@ def write_chunks(df: DataFrame, path: str, chunk: str = "chunk_id") -> None:
     """Each chunk is one partition; writing a chunk again replaces it, an empty
     chunk writes nothing.
 
-    Rows are clustered by chunk and a salt, so a chunk is written by a few
-    tasks: not by one, and not by every task of the job."""
-    salted = df.repartition(F.col(chunk), F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+    Rows are rebalanced by chunk: small chunks share a task, and a chunk that
+    holds a large part of the data is split over as many tasks as its size
+    asks for."""
     (
-        salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", chunk).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(chunk).parquet(path)
     )
 

@@ -27,6 +27,11 @@ def alert_sink(root: str, score: Callable[[DataFrame], DataFrame], key: Sequence
     def run(features: DataFrame, batch_id: int) -> None:
         found = exceeding(score(features))
         earlier = stored_before(features.sparkSession, root, batch_id, found.schema)
+        # only alerts of the same times can repeat
+        span = found.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+        earlier = earlier.where(
+            (F.col("bucket") >= span.select("lo").scalar()) & (F.col("bucket") <= span.select("hi").scalar())
+        )
         fresh = found.dropDuplicates(list(key)).join(earlier.select(*key), list(key), "left_anti")
         fresh.write.mode("overwrite").parquet(batch_folder(root, batch_id))
 

@@ -11,7 +11,7 @@ from pulsegrid.operators import evaluate, features, intervals, matrix, reports,
 from pulsegrid.operators.detectors import iforest, ocsvm, seqrecon
 from pulsegrid.operators.quantiles import exact_quantiles
 from pulsegrid.plans import retrain
-from pulsegrid.session import materialize, work_path
+from pulsegrid.session import materialize, settle, work_path
 from pulsegrid.sources import results
 from pulsegrid.suite import roles
 from pulsegrid.suite.batch import day_chunks
@@ -239,7 +239,7 @@ SQL_TWO = f"""{ROLLED}, {roles.SC}, {roles.W}, {roles.sql_predictions(0.99, '1')
 def two_runs(spark, sf):
     """Metrics of the same scores at quantile 0.99 (new) and 0.95 (active)."""
     train, test = evaluate.time_split(roles.labelled_scores(spark, sf), roles.split())
-    limits = materialize(evaluate.thresholds(train, [0.99, 0.95]), "limits")
+    limits = evaluate.thresholds(train, [0.99, 0.95])
     return [evaluate.prf(evaluate.apply_thresholds(test, limits.where(F.col("prob") == q))) for q in (0.99, 0.95)]
 
 
@@ -266,7 +266,7 @@ SELECT l.model, l.latest, round(l.score + 3e-8, 6) AS score, round(th.threshold
  round(l.score - th.threshold + 3e-8, 6) AS margin, (l.score > th.threshold)::INT AS active FROM l JOIN th ON l.model = th.model""")
 def threshold_margin(spark, sf):
     p = materialize(roles.predictions(spark, sf), "predictions")
-    limits = p.groupBy("model").agg(F.max("threshold").alias("threshold"))
+    limits = settle(p.groupBy("model").agg(F.max("threshold").alias("threshold")), "limits")
     return rounded(evaluate.threshold_margin(p, limits), "score", "threshold", "margin")
 
 

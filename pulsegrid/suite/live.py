@@ -136,13 +136,13 @@ def stream_rolling_state(spark, sf):
 WHERE y_pred = 1 AND bucket + INTERVAL 1 HOUR <= {LAST_CLICK}""")
 def stream_alerts(spark, sf):
     train = materialize(roles.scores(spark, sf), "scores").where(F.col("bucket") < roles.split())
-    limits = materialize(evaluate.thresholds(train, [0.99]), "limits")
+    limits = evaluate.thresholds(train, [0.99])
     root = work_path(spark, "live")
 
     def score(rows):
         test = rows.where(F.col("bucket") >= roles.split())
         scored = evaluate.rolling_zscore(test, "value", WIDTHS)
-        return scored.join(F.broadcast(limits.select("model", "threshold")), "model")
+        return scored.join(limits.select("model", "threshold"), "model")
 
     each = sf_features.rolling_batch(root, width=WIDTH, widths=WIDTHS, then=al.alert_sink(f"{root}/alerts", score))
     drain(closed_clicks(spark, sf), "alerts", each=each)
