@@ -23,9 +23,13 @@ NO_ALARM_YET = 999999
 FORBIDDEN_FEATURES = ("datetime_minute", "host", "is_anomaly", "time_since_last_alarm")
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def named(column: str) -> Column:
     """A column by its plain name; metric keys hold dots, commas and brackets."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))
 
 
 def metric_key(key: Column, prefixes=METRIC_PREFIXES) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.functions.metrics import has_host, named
+from pulsegrid.functions.metrics import has_host, named, quoted
 
 
 # more metric keys than this are averaged per key before they become columns
@@ -120,7 +120,7 @@ def forward_fill(
 
 def drop_sparse(df: DataFrame, share: float = 0.7) -> DataFrame:
     """Rows that have a value in at least ``int(share * columns)`` columns."""
-    return df.dropna(thresh=int(len(df.columns) * share))
+    return df.dropna(thresh=int(len(df.columns) * share), subset=[quoted(c) for c in df.columns])
 
 
 def named_hosts(df: DataFrame, host: str = "host") -> DataFrame:

@@ -1,10 +1,11 @@
 """Exact interpolated quantiles without collecting a group.
 
 ``percentile`` keeps every distinct value of a group in one task.  Here the
-value axis is cut twice into monotone bins (logarithmic, then linear inside the
-bin that holds the wanted rank), each time counting with map-side combine, and
-only the values of the final bin are ordered.  A final bin spans less than
-2**-27 of its value, so it holds a bounded number of distinct doubles.
+value axis is cut into logarithmic bins, counted with map-side combine.  A bin
+that holds a wanted rank and more rows than one task should sort is cut again,
+linearly; then only the distinct values of the final bins are ordered.  After
+both cuts a bin spans less than 2**-27 of its value, so it holds a bounded
+number of distinct doubles whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ from pulsegrid.session import settle
 
 LOG_BINS = 4096
 LINEAR_BINS = 65536
+SORTABLE_ROWS = 1_000_000
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys..., prob, quantile), linear interpolation between order statistics.
 
-    NULL and NaN values are skipped.  ``df`` is read three times; pass a stored
+    NULL and NaN values are skipped.  ``df`` is read two or three times; pass a stored
     table when it is costly to compute.  The rank targets, at most two rows per
     group and probability, are settled before each join: with few groups
     (models, features) Spark broadcasts them, with many it shuffles.
@@ -56,24 +58,30 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         .withColumn("r", F.explode(F.array(floor_rank, F.least(floor_rank + 1, F.col("total") - 1))))
         .withColumn("upper", F.col("r") > floor_rank)
         .where(holds_rank("r"))
-        .select(*keys, "prob", "part", "upper", "b1", "lo", "hi", (F.col("r") - F.col("upto") + F.col("n")).alias("r"))
+        .select(*keys, "prob", "part", "upper", "b1", "lo", "hi", F.col("n").alias("bin_rows"), (F.col("r") - F.col("upto") + F.col("n")).alias("r"))
     )
     t1 = settle(t1, "quantile-bins")
 
-    # 2. linear histogram inside the wanted bins
-    span = F.col("hi") - F.col("lo")
-    linear_bin = F.when(span > 0, F.floor((F.col("x") - F.col("lo")) / span * F.lit(float(LINEAR_BINS)))).otherwise(0)
+    # 2. linear histogram inside the wanted bins, where a bin is too large to sort
     bins1 = t1.select(*keys, "b1", "lo", "hi").distinct()
-    fine = rows.join(bins1, [*keys, "b1"]).withColumn("b2", linear_bin.cast("long")).drop("lo", "hi")
-    h2 = fine.groupBy(*keys, "b1", "b2").agg(F.count(F.lit(1)).alias("n"))
-    h2 = h2.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "b1").orderBy("b2").rowsBetween(*upto)))
-    t2 = (
-        h2.join(t1.drop("lo", "hi"), [*keys, "b1"])
-        .where(holds_rank("r"))
-        .withColumn("r", F.col("r") - F.col("upto") + F.col("n"))
-        .drop("n", "upto")
-    )
-    t2 = settle(t2, "quantile-bins")
+    fine = rows.join(bins1, [*keys, "b1"])
+    if (t1.agg(F.max("bin_rows").alias("m")).first()["m"] or 0) > SORTABLE_ROWS:
+        span = F.col("hi") - F.col("lo")
+        linear_bin = F.when(span > 0, F.floor((F.col("x") - F.col("lo")) / span * F.lit(float(LINEAR_BINS)))).otherwise(0)
+        fine = fine.withColumn("b2", linear_bin.cast("long")).drop("lo", "hi")
+        h2 = fine.groupBy(*keys, "b1", "b2").agg(F.count(F.lit(1)).alias("n"))
+        h2 = h2.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "b1").orderBy("b2").rowsBetween(*upto)))
+        t2 = (
+            h2.join(t1.drop("lo", "hi", "bin_rows"), [*keys, "b1"])
+            .where(holds_rank("r"))
+            .withColumn("r", F.col("r") - F.col("upto") + F.col("n"))
+            .drop("n", "upto")
+        )
+        t2 = settle(t2, "quantile-bins")
+    else:
+        whole_bin = F.lit(0).cast("long")
+        fine = fine.drop("lo", "hi").withColumn("b2", whole_bin)
+        t2 = t1.drop("lo", "hi", "bin_rows").withColumn("b2", whole_bin)
 
     # 3. distinct values of the final bins
     bins2 = t2.select(*keys, "b1", "b2").distinct()

@@ -68,8 +68,10 @@ def load_chunks(spark: SparkSession, chunks: DataFrame, table: str, ledger: str,
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``, which may be a glob pattern?"""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return found is not None and len(found) > 0
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -30,6 +30,11 @@ def write_chunks(df: DataFrame, path: str, chunk: str = "chunk_id") -> None:
     )
 
 
+def has_chunks(spark: SparkSession, path: str) -> bool:
+    """A table of which every chunk was empty has a folder but no chunk."""
+    return table_exists(spark, f"{path}/chunk_id=*")
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(path)
 

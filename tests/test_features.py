@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import metrics as mx
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.operators import asof, features, intervals, matrix, rolling
+from pulsegrid.operators import asof, features, intervals, matrix, quantiles, rolling
 from pulsegrid.operators.quantiles import exact_quantiles
 from pulsegrid.plans import enrich
 
@@ -240,8 +240,10 @@ def test_forward_fill_is_limited_and_stays_in_its_chunk(spark):
     assert got == [1.0, 1.0, 1.0, 1.0, None, 2.0, 2.0]
 
 
+@pytest.mark.parametrize("sortable", [1_000_000, 0])
 @pytest.mark.parametrize("case", ["normal", "ties", "negative", "huge", "single"])
-def test_quantiles(spark, case):
+def test_quantiles(spark, case, sortable, monkeypatch):
+    monkeypatch.setattr(quantiles, "SORTABLE_ROWS", sortable)
     rng = np.random.default_rng(5)
     x = {
         "normal": rng.normal(0, 1, 3000), "ties": rng.integers(0, 4, 3000).astype(float),
