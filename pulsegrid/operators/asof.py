@@ -39,15 +39,17 @@ def running_max_asof(
     on: Sequence[str] = ("host",),
     time: str = "bucket",
     grid: int | None = None,
-    block: int = tf.DAY,
+    block: int | None = None,
 ) -> DataFrame:
     """Add the column of every lookup to ``left`` in one shuffle of ``left``.
 
     ``grid``: bucket width in seconds when every left time lies on that grid.
-    ``block``: seconds of history that one task windows per key.
+    ``block``: seconds of history that one task windows per key; by default a
+    day on a grid, where it holds one row per bucket, and a minute without one.
     Before the main pass the distinct (keys, block) pairs of ``left`` are read,
     so hand over a stored table when ``left`` is costly to compute.
     """
+    block = block or (tf.DAY if grid else tf.MINUTE)
     span = max(block // grid, 1) if grid else block * 1_000_000
     in_block = tf.int_div(F.col("_pos"), span)
     best = [f"_best{i}" for i in range(len(lookups))]
@@ -111,7 +113,7 @@ def time_since_last_alarm(
     alarm_time: str = "alarm_ts",
     out: str = "time_since_last_alarm",
     grid: int | None = tf.MINUTE,
-    block: int = tf.DAY,
+    block: int | None = None,
 ) -> DataFrame:
     """Minutes since the latest alarm at or before each row."""
     found = running_max_asof(

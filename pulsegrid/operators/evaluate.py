@@ -132,13 +132,17 @@ def random_baseline(rows: DataFrame, *, truth: str = "y_true", row_key: Sequence
                     repeats: int = BASELINE_REPEATS, seed: int = 0) -> DataFrame:
     """Best F1 of random labelings at the true positive rate.
 
-    All repeats are counted side by side in one aggregate; a hash of the row
-    key draws, so a retried task draws the same."""
+    All repeats are counted side by side in one aggregate.  The draws are
+    32-bit pieces of a digest of the row key, so a retried task draws the same
+    and any engine can repeat them."""
     rate = rows.agg(F.avg(F.col(truth).cast("double")).alias("r")).scalar()
     true = F.col(truth) == 1
-    # xxhash64 spread over [0, 1)
-    draw = lambda i: (F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *row_key), F.lit(1 << 30)) / F.lit(float(1 << 30))) < F.col("_rate")
-    counted = rows.withColumn("_rate", rate).agg(
+    digest = lambda i: F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(i)), *[F.col(k).cast("string") for k in row_key]))
+    draw = lambda i: F.conv(F.substring(F.col(f"_d{i // 4}"), 1 + 8 * (i % 4), 8), 16, 10).cast("bigint") < F.col("_limit")
+    drawn = rows.withColumns(
+        {"_limit": rate * F.lit(float(1 << 32)), **{f"_d{i}": digest(i) for i in range(-(-repeats // 4))}}
+    )
+    counted = drawn.agg(
         F.count_if(true).alias("pos"),
         *[F.count_if(draw(i)).alias(f"p{i}") for i in range(repeats)],
         *[F.count_if(draw(i) & true).alias(f"t{i}") for i in range(repeats)],

@@ -34,7 +34,7 @@ def in_any_window(
     end: str = "end_ts",
     out: str = "is_anomaly",
     grid: int | None = tf.MINUTE,
-    block: int = tf.DAY,
+    block: int | None = None,
 ) -> DataFrame:
     """1 where the row lies in a half-open window of the same keys, else 0."""
     look = Lookup(windows, start, end, "_latest_end")
@@ -178,7 +178,7 @@ def alarm_overlap(
     alarm_len: int = 600,
     mode: str = "overlap",
     out: str = "own_alarm_overlap",
-    block: int = tf.DAY,
+    block: int | None = None,
 ) -> DataFrame:
     """Does an alarm window [a, a + alarm_len] touch the anomaly window?
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import metrics as mx
@@ -270,10 +271,31 @@ def threshold_margin(spark, sf):
     return rounded(evaluate.threshold_margin(p, limits), "score", "threshold", "margin")
 
 
-@query("random_baseline")
+@query("random_baseline", f"""{WIDE}, {roles.W}, y AS (SELECT host, epoch(bucket)::BIGINT AS clock,
+  (EXISTS (SELECT 1 FROM w WHERE w.host = m.host AND m.bucket >= w.start_ts AND m.bucket < w.end_ts))::INT AS y_true FROM m),
+ d AS (SELECT y_true, i, ('0x' || substr(md5('0|' || (i // 4)::VARCHAR || '|' || host || '|' || clock::VARCHAR), 1 + 8 * (i % 4)::INT, 8))::BIGINT
+   < (SELECT avg(y_true) FROM y) * 4294967296.0 AS pick FROM y, (SELECT unnest(range(50)) AS i)),
+ f AS (SELECT i, count(*) FILTER (pick AND y_true = 1) AS tp, count(*) FILTER (pick) AS np, count(*) FILTER (y_true = 1) AS nt FROM d GROUP BY i)
+SELECT 50::INT AS repeats, round(max(CASE WHEN np + nt > 0 THEN 2.0 * tp / (np + nt) ELSE 0 END)::DOUBLE + 3e-8, 6) AS best_f1 FROM f""")
 def random_baseline(spark, sf):
     rows = intervals.in_any_window(roles.wide(spark, sf).select("host", "bucket"), roles.windows(spark, sf), out="y_true", **roles.GRID)
-    return evaluate.random_baseline(materialize(rows, "truth"))
+    keyed = materialize(rows.withColumn("clock", tf.epoch_seconds(F.col("bucket"))), "truth")
+    return rounded(evaluate.random_baseline(keyed, row_key=["host", "clock"]), "best_f1")
+
+
+@query("run_metrics", f"""{SQL_TWO}, runs AS (SELECT 'new' AS run_id, * FROM new_m UNION ALL SELECT 'active', * FROM act_m)
+SELECT run_id, model, precision, recall, f1, n_pred_pos::INT AS n_pred_pos, n_test_rows::INT AS n_test_rows, rank() OVER (PARTITION BY model ORDER BY f1 DESC)::INT AS place FROM runs""")
+def run_metrics(spark, sf):
+    """The metrics of all runs, read back from their result folders."""
+    root = work_path(spark, "runs")
+    for run_id, df in zip(("new", "active"), two_runs(spark, sf)):
+        table_ = df.select([c.name if c.name in df.columns else F.lit(None).cast(c.dataType).alias(c.name)
+                            for c in spark.createDataFrame([], results.EVAL_SCHEMA).schema])
+        results.write_result(table_, root, run_id, "eval")
+    runs = results.read_result(spark, root, "eval", results.EVAL_SCHEMA)
+    # one row per model and run
+    place = F.rank().over(Window.partitionBy("model").orderBy(F.desc("f1")))
+    return runs.select("run_id", "model", "precision", "recall", "f1", "n_pred_pos", "n_test_rows", place.alias("place"))
 
 
 # ---- features --------------------------------------------------------------------------
@@ -319,7 +341,21 @@ def feature_corr(spark, sf):
     return rounded(features.correlations(materialize(rolled, "features"), CORR), "corr")
 
 
-@query("feature_select")
+LONG_TRAIN = f"""{FEAT.replace("WITH ", "WITH RECURSIVE ", 1)}, lt AS (""" + " UNION ALL ".join(
+    f"SELECT {i} AS pos, '{f}' AS feature, host, bucket, {f} AS value FROM trn" for i, f in enumerate(FEATURES)) + ")"
+
+
+@query("feature_select", f"""{LONG_TRAIN},
+ va AS (SELECT feature, min(pos) AS pos, var_samp(value) AS v FROM lt GROUP BY feature HAVING var_samp(value) > 1e-6),
+ nr AS (SELECT *, row_number() OVER (ORDER BY pos) AS i FROM va),
+ pr AS (SELECT a.feature AS fa, b.feature AS fb FROM lt a JOIN lt b ON a.host = b.host AND a.bucket = b.bucket AND a.pos < b.pos
+   WHERE a.value IS NOT NULL AND b.value IS NOT NULL GROUP BY 1, 2 HAVING abs(corr(a.value, b.value)) > 0.95),
+ st AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS kept UNION ALL
+   SELECT nr.i, CASE WHEN EXISTS (SELECT 1 FROM pr WHERE pr.fb = nr.feature AND list_contains(st.kept, pr.fa)) THEN st.kept
+     ELSE list_append(st.kept, nr.feature) END FROM st JOIN nr ON nr.i = st.i + 1),
+ kp AS (SELECT va.* FROM va WHERE list_contains((SELECT arg_max(kept, i) FROM st), va.feature))
+SELECT (row_number() OVER (ORDER BY CASE WHEN (SELECT count(*) FROM kp) > 20 THEN -v ELSE pos END, feature) - 1)::INT AS position, feature
+FROM kp QUALIFY position < 20""")
 def feature_select(spark, sf):
     train = materialize(train_features(spark, sf), "train")
     names = features.select_features(train, FEATURES, top_k=20)
