@@ -56,7 +56,7 @@ def tree_samples(rows: DataFrame, row_key: Sequence[str], trees: int = TREES, sa
 
 def fit(rows: DataFrame, features: str, row_key: Sequence[str], *, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """The forest as a table of nodes.  ``features`` is an array column."""
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rng = np.random.default_rng([seed, key[0]])
         x = np.stack(pdf[features].to_numpy()).astype(float)
         limit = int(np.ceil(np.log2(max(len(x), 2))))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.functions.metrics import ROLLING_WIDTHS, named
+from pulsegrid.functions.metrics import ROLLING_WIDTHS, named, quoted
 
 
 def _with_lookback(df: DataFrame, pos: Column, reach: int, block: int) -> DataFrame:
@@ -45,20 +45,19 @@ def rolling_stats(
     (keys = host, key_; column = value).  All statistics of all widths share
     one shuffle and one sort.
     """
-    order = Window.partitionBy(*keys, "_block").orderBy("_pos")
+    partition = ", ".join([*map(quoted, keys), "_block"])
     out: dict[str, Column] = {}
     for c in columns:
+        x = quoted(c)
         for w in widths:
-            frame = order.rangeBetween(-(w - 1), Window.currentRow)
-            x = named(c)
-            if "avg" in stats:
-                out[name(c, "avg", w)] = F.avg(x).over(frame)
-            if "std" in stats:
-                out[name(c, "std", w)] = F.coalesce(F.stddev_pop(x).over(frame), F.lit(0.0))
-            if "trend" in stats:
-                n = F.count(x).over(frame)
-                rise = F.last(x, ignorenulls=True).over(frame) - F.first(x, ignorenulls=True).over(frame)
-                out[name(c, "trend", w)] = F.when(n >= 2, rise / n).otherwise(0.0)
+            over = f"OVER (PARTITION BY {partition} ORDER BY _pos RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+            rise = f"(last({x}, true) {over} - first({x}, true) {over}) / count({x}) {over}"
+            forms = {
+                "avg": f"avg({x}) {over}",
+                "std": f"coalesce(stddev_pop({x}) {over}, 0D)",
+                "trend": f"CASE WHEN count({x}) {over} >= 2 THEN {rise} ELSE 0D END",
+            }
+            out |= {name(c, stat, w): F.expr(forms[stat]) for stat in stats}
     placed = _with_lookback(df, tf.bucket_index(F.col(time), width), max(widths) - 1, block)
     return placed.withColumns(out).where("_home").drop("_pos", "_block", "_home")
 
