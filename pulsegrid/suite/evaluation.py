@@ -41,14 +41,14 @@ def feature_page(spark, sf):
 SELECT model, host, bucket, round(score + 3e-8, 6) AS score, (SELECT count(*) FROM f) AS total
 FROM f ORDER BY bucket DESC, host, model LIMIT 5""")
 def alert_page(spark, sf):
-    page, total = reports.alert_page(materialize(roles.alerts(spark, sf), "alerts"), model="z30", limit=5)
+    page, total = reports.alert_page(roles.alerts(spark, sf), model="z30", limit=5)
     return rounded(page.select("model", "host", "bucket", "score").withColumn("total", total.scalar()), "score")
 
 
 @query("score_series", f"""{ALERTS} SELECT bucket, host, round(score + 3e-8, 6) AS score, round(threshold + 3e-8, 6) AS threshold
 FROM al WHERE model = 'z60' AND bucket >= (SELECT max(bucket) FROM al) - INTERVAL 168 HOUR""")
 def score_series(spark, sf):
-    alerts = materialize(roles.alerts(spark, sf), "alerts")
+    alerts = roles.alerts(spark, sf)
     return rounded(reports.score_series(alerts, "z60", 168, roles.newest(alerts)), "score", "threshold")
 
 
@@ -56,7 +56,7 @@ def score_series(spark, sf):
  round(max(score), 4) AS max_score, round(avg(threshold), 4) AS threshold, min(bucket) AS first_alert, max(bucket) AS last_alert
 FROM al WHERE bucket >= (SELECT max(bucket) FROM al) - INTERVAL 168 HOUR GROUP BY model""")
 def alert_summary(spark, sf):
-    alerts = materialize(roles.alerts(spark, sf), "alerts")
+    alerts = roles.alerts(spark, sf)
     return reports.alert_summary(alerts, 168, roles.newest(alerts))
 
 
@@ -205,7 +205,7 @@ def threshold_flags(spark, sf):
 
 @query("union_predictions", f"{PRED} SELECT model, count(*) AS n, sum(y_pred)::BIGINT AS n_pred, sum(y_true)::BIGINT AS n_true FROM p GROUP BY model")
 def union_predictions(spark, sf):
-    p = materialize(roles.predictions(spark, sf), "predictions")
+    p = roles.predictions(spark, sf)
     parts = [p.where(F.col("model") == f"z{w}") for w in WIDTHS]
     return warehouse.evolve_union(parts).groupBy("model").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y_pred").alias("n_pred"), F.sum("y_true").alias("n_true")
@@ -266,7 +266,7 @@ def vote(spark, sf):
 SELECT l.model, l.latest, round(l.score + 3e-8, 6) AS score, round(th.threshold + 3e-8, 6) AS threshold,
  round(l.score - th.threshold + 3e-8, 6) AS margin, (l.score > th.threshold)::INT AS active FROM l JOIN th ON l.model = th.model""")
 def threshold_margin(spark, sf):
-    p = materialize(roles.predictions(spark, sf), "predictions")
+    p = roles.predictions(spark, sf)
     limits = settle(p.groupBy("model").agg(F.max("threshold").alias("threshold")), "limits")
     return rounded(evaluate.threshold_margin(p, limits), "score", "threshold", "margin")
 
@@ -462,7 +462,7 @@ def retrain_report(spark, sf):
  UNION ALL SELECT 'alerts_24h', model, count(*)::DOUBLE FROM al WHERE bucket >= (SELECT max(bucket) FROM al) - INTERVAL 24 HOUR GROUP BY model)
 SELECT section, name, round(value + 3e-8, 6) AS value FROM x""")
 def summary_report(spark, sf):
-    p = materialize(roles.predictions(spark, sf), "predictions")
+    p = roles.predictions(spark, sf)
     alerts = p.where("y_pred = 1")
     met = evaluate.prf(p)
     line = lambda df, section, name, value: df.select(

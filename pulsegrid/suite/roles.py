@@ -88,12 +88,13 @@ def scores(spark, sf) -> DataFrame:
 
 def labelled_scores(spark, sf) -> DataFrame:
     """All scores with their truth, stored: thresholds read them three times."""
-    truth = intervals.in_any_window(scores(spark, sf), windows(spark, sf), out="y_true", **GRID)
-    return materialize(truth, "scores")
+    rows = intervals.in_any_window(rolled_click(spark, sf), windows(spark, sf), out="y_true", **GRID)
+    return materialize(evaluate.rolling_zscore(rows, "click", WIDTHS, ids=("host", "bucket", "y_true")), "scores")
 
 
 def predictions(spark, sf, prob: float = 0.99) -> DataFrame:
-    """Test-side predictions of z5, z30 and z60, with truth from the windows."""
+    """Test-side predictions of z5, z30 and z60, with truth from the windows.
+    A scan of the stored scores joined with three thresholds: cheap to read again."""
     train, test = evaluate.time_split(labelled_scores(spark, sf), split())
     return evaluate.apply_thresholds(test, evaluate.thresholds(train, [prob]))
 
