@@ -25,7 +25,7 @@ SORTABLE_ROWS = 1_000_000
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys..., prob, quantile), linear interpolation between order statistics.
 
-    NULL and NaN values are skipped.  ``df`` is read two or three times; pass a stored
+    NULL and NaN values, and rows with a NULL key, are skipped.  ``df`` is read two or three times; pass a stored
     table when it is costly to compute.  The rank targets, at most two rows per
     group and probability, are settled before each join: with few groups
     (models, features) Spark broadcasts them, with many it shuffles.
