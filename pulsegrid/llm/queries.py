@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, pii, quality
+from pulsegrid.llm import linededup, pii, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that windows of 50 words repeat from earlier documents."""
+    return substring.repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 LINE_RATIO, LINE_PAGES = 0.1, 5
 
 
