@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, pii, quality, substring
+from pulsegrid.llm import linededup, pii, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the byte-level token ids of every document and of their decoding."""
+    return tokens.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 LINE_RATIO, LINE_PAGES = 0.1, 5
 
 
