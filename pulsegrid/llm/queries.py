@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, pii, quality, substring, tokens
+from pulsegrid.llm import linededup, packing, pii, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +46,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all pieces of all documents in sequences of 4096 tokens."""
+    return packing.packed(documents(spark, sf_dir), vocabulary("word_bpe_49k.json")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 LINE_RATIO, LINE_PAGES = 0.1, 5
 
 
