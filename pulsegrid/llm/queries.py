@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, packing, pii, quality, substring, tokens
+from pulsegrid.llm import linededup, merkle, packing, pii, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,6 +90,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "n_lines", "n_removed", F.md5("html").alias("kept_md5"))
 
 
+@query()
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text."""
+    return merkle.compared(documents(spark, sf_dir))
+
+
 @query()
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of personal data in every document."""
