@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, merkle, packing, pii, quality, substring, tokens
+from pulsegrid.llm import linededup, merkle, ngramjoin, packing, pii, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query()
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles are alike to 85 %."""
+    return ngramjoin.joined(documents(spark, sf_dir))
+
+
 LINE_RATIO, LINE_PAGES = 0.1, 5
 
 
