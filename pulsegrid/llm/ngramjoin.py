@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm import sums
 from pulsegrid.llm.components import components
 from pulsegrid.llm.words import WORD_POWERS, chunks, mix, rolled, signed, split, windows
 from pulsegrid.session import materialize
@@ -65,24 +66,10 @@ def occurrences(docs: DataFrame, k: int) -> np.ndarray:
             for _, texts in chunks(batch, "text"):
                 total += np.bincount(counter(shingles(texts, k)[0]), minlength=len(total))
         if total.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(total.astype(np.uint32), PARTS)])], ["part", "counts"])
+            yield sums.rows({0: total}, PARTS)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[part] = total.get(part, 0) + np.frombuffer(raw, np.uint32).astype(np.int64)
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(total, pa.int32()), pa.array([np.minimum(x, 0xFFFFFFFF).astype(np.uint32).tobytes() for x in total.values()])], ["part", "counts"])
-
-    kind = "part int, counts binary"
-    rows = docs.select("text").mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).collect()
-    out = np.zeros((PARTS, (1 << COUNTER_BITS) // PARTS), np.uint32)
-    for r in rows:
-        out[r["part"]] = np.frombuffer(r["counts"], np.uint32)
-    return out.reshape(-1)
+    total = sums.add_up(docs.select("text").mapInArrow(count, sums.KIND), PARTS)
+    return total.get(0, np.zeros(1 << COUNTER_BITS))
 
 
 def surveyed(docs: DataFrame, k: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, merkle, ngramjoin, packing, pii, quality, substring, tokens
+from pulsegrid.llm import linededup, merkle, mixing, ngramjoin, packing, pii, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,6 +118,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(counted, pii.BASE), F.sha2(listed(pii.BASE), 256).alias("base_sha256"), listed(pii.KINDS).alias("spans"))
 
 
+@query()
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document under word counts and under the mixing model."""
+    return mixing.score(documents(spark, sf_dir))
+
+
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts, the base rule and the learned verdict for every document."""
