@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, merkle, mixing, ngramjoin, packing, pii, quality, substring, tokens
+from pulsegrid.llm import linededup, merkle, mixing, ngramjoin, packing, pii, quality, substring, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,3 +129,20 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts, the base rule and the learned verdict for every document."""
     return quality.quality(documents(spark, sf_dir)).select(
         "doc_id", *quality.COUNTS, "base_failed", "kept", "p_good")
+
+
+TOXIC = 0.5
+
+
+def fold(id_col: str = "doc_id"):
+    """Remainder by 5 of the check sum of the id as text; 0 is held out."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled rows of the training folds."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(fold() != 0)
+    out = toxicity.scored(docs, toxicity.fit(docs.filter(fold() != 0), labels))
+    return out.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
