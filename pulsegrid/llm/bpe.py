@@ -21,6 +21,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
+from pulsegrid.llm.words import BYTE_POWERS, WORD_POWERS, mix, rolled
+
 NEVER = 1 << 30
 END = "</w>"
 
@@ -79,7 +81,7 @@ def byte_alphabet() -> dict[str, int]:
 class Automaton:
     """States and arcs of a vocabulary file; ids are those of the file."""
 
-    ARCS = 1 << 21
+    ARCS = 1 << 20
 
     def __init__(self, model: dict) -> None:
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
@@ -214,19 +216,19 @@ class Encoder:
     """Ids of units, which are spans of text that the pre-split treats alone.
 
     ``pieces`` cuts a unit into strings to encode and ids of special tokens.  Units
-    met before are remembered, up to ``KEEP`` of them."""
+    met before are remembered by 128 bits of hash, up to ``KEEP`` of them."""
 
-    KEEP = 400_000
+    KEEP, AT_ONCE = 1_000_000, 1 << 15
 
     def __init__(self, automaton: Automaton, pieces: Pieces) -> None:
         self.automaton, self.pieces = automaton, pieces
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.place, self.check = Table(16), np.zeros(0, np.uint64)
         self.ids, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def _learn(self, units: list[bytes]) -> None:
+    def _coded(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.pieces(u.decode()) for u in units]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         parts = pa.array([p.encode() if isinstance(p, str) else b"" for c in cut for p in c], pa.large_binary())
@@ -243,22 +245,44 @@ class Encoder:
             index[special >= 0] = len(words) + np.searchsorted(own, special[special >= 0])
             ids, at = np.concatenate((ids, own)), np.concatenate((at, at[-1] + 1 + np.arange(len(own))))
         flat, ends = gather(ids, at, index)
-        bounds = ends[np.concatenate(([0], np.cumsum(counts)))]
-        self.offsets = np.concatenate((self.offsets, len(self.ids) + bounds[1:]))
-        self.ids = np.concatenate((self.ids, flat.astype(np.int32)))
-
-    def encode(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and offsets of a binary column of units."""
-        coded = units.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.known) + len(words) > self.KEEP:
+        return flat.astype(np.int32), ends[np.concatenate(([0], np.cumsum(counts)))]
+
+    def _learn(self, units: list[bytes]) -> None:
+        ids, offsets = [self.ids], [self.offsets]
+        for a in range(0, len(units), self.AT_ONCE):
+            flat, bounds = self._coded(units[a:a + self.AT_ONCE])
+            ids.append(flat)
+            offsets.append(offsets[-1][-1] + bounds[1:])
+        self.ids, self.offsets = np.concatenate(ids), np.concatenate(offsets)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and offsets of units that lie one after the other in ``data``."""
+        values = data.astype(np.uint64) + np.uint64(1)
+        start, end = offsets[:-1], offsets[1:]
+        size = (end - start).astype(np.uint64)
+        one = mix(rolled(values, start, end, BYTE_POWERS) + size)
+        two = mix(rolled(values, start, end, WORD_POWERS) ^ size)
+        key = (one >> np.uint64(1)).astype(np.int64)
+        if len(self.check) > self.KEEP:
             self._forget()
-        new = [u for u in words if u not in self.known]
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self._learn(new)
-        place = np.fromiter((self.known[u] for u in words), np.int64, len(words))
-        return gather(self.ids, self.offsets, place[coded.indices.to_numpy(zero_copy_only=False)])
+        at = self.place.find(key).astype(np.int64)
+        known = at >= 0
+        known[known] = self.check[at[known]] == two[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            order = new[np.lexsort((two[new], key[new]))]
+            first = np.ones(len(order), bool)
+            first[1:] = (key[order][1:] != key[order][:-1]) | (two[order][1:] != two[order][:-1])
+            at[order] = len(self.check) + np.cumsum(first) - 1
+            lone = order[first]
+            raw = data.tobytes()
+            self._learn([raw[a:b] for a, b in zip(start[lone].tolist(), end[lone].tolist())])
+            self.check = np.concatenate((self.check, two[lone]))
+            free = np.ones(len(lone), bool)
+            free[1:] = key[lone][1:] != key[lone][:-1]
+            free &= self.place.find(key[lone]) < 0  # of units that share a key one is found again
+            self.place.add(key[lone[free]], at[lone[free]].astype(np.int32))
+        return gather(self.ids, self.offsets, at)
 
 
 def read_vocabulary(path: str) -> dict:

@@ -199,21 +199,29 @@ def placed(own: Ranked, plan: Sweep, low: int, high: int) -> DataFrame:
     return band.mapInArrow(scan, f"{fields}, gap long, gap_rank long, offset long")
 
 
+def ranks(batch: pa.RecordBatch, size: str, before: dict[tuple[int, int], int]) -> np.ndarray:
+    """Rank of each row among all rows of its size."""
+    values, part, local = (batch.column(batch.schema.get_field_index(c)) for c in (size, "part", "local"))
+    add = np.fromiter((before[k] for k in zip(part.to_pylist(), values.to_pylist())), np.int64, len(batch))
+    return local.to_numpy(zero_copy_only=False) + add
+
+
 def numbered(gaps: Ranked) -> DataFrame:
     """(sequence_id, gap, gap_rank) of a ranked table of gaps."""
     before = gaps.before
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seq, gap, part, local = (batch.column(batch.schema.get_field_index(c)) for c in ("sequence_id", "gap", "part", "local"))
-            add = np.fromiter((before[k] for k in zip(part.to_pylist(), gap.to_pylist())), np.int64, len(gap))
-            yield pa.RecordBatch.from_arrays([seq, gap, pa.array(local.to_numpy() + add)], ["sequence_id", "gap", "gap_rank"])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(batch.schema.get_field_index("sequence_id")), batch.column(batch.schema.get_field_index("gap")),
+                pa.array(ranks(batch, "gap", before))], ["sequence_id", "gap", "gap_rank"])
 
     return gaps.table.mapInArrow(scan, "sequence_id long, gap long, gap_rank long")
 
 
-def updated(gaps: DataFrame, plan: Sweep, least: int) -> DataFrame:
-    """(sequence_id, gap) after a superstep, without gaps below ``least``."""
+def updated(gaps: DataFrame, before: dict[tuple[int, int], int] | None, plan: Sweep, least: int) -> DataFrame:
+    """(sequence_id, gap) after a superstep, without gaps below ``least``, of gaps
+    ranked by task or, without ``before``, by ``gap_rank``."""
     by: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for origin, first, _, gap in plan.left:
         by[origin].append((first, gap))
@@ -221,7 +229,9 @@ def updated(gaps: DataFrame, plan: Sweep, least: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seq, gap, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            names = batch.schema.names
+            seq, gap = (batch.column(names.index(c)).to_numpy(zero_copy_only=False) for c in ("sequence_id", "gap"))
+            rank = ranks(batch, "gap", before) if before is not None else batch.column(names.index("gap_rank")).to_numpy(zero_copy_only=False)
             new = np.zeros(len(seq), np.int64)
             for g in np.unique(gap).tolist():
                 rows = np.flatnonzero(gap == g)
@@ -252,14 +262,16 @@ def pack(own: DataFrame, ties: list[str], capacity: int = CAPACITY, steps: tuple
         there = placed(rows, plan, low, high)
         fresh = spark.range(plan.opened).select((F.col("id") + total).alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"),
                                                 F.col("id").alias("gap_rank"))
-        known = numbered(gaps).unionByName(fresh) if gaps else fresh
         new = there.filter(F.col("gap") == capacity).withColumn("sequence_id", F.col("gap_rank") + total)
         old = there.filter(F.col("gap") < capacity)
         old = old.join(numbered(gaps), ["gap", "gap_rank"]) if gaps else old.withColumn("sequence_id", F.lit(0).cast("long")).limit(0)
         parts.append(materialize(new.unionByName(old).drop("gap", "gap_rank"), "placed"))
         total, high = total + plan.opened, low
         if low:
-            gaps = ranked(updated(known, plan, shortest), "gap", ["sequence_id"], "gaps")
+            after = updated(fresh, None, plan, shortest)
+            if gaps:
+                after = after.unionByName(updated(gaps.table, gaps.before, plan, shortest))
+            gaps = ranked(after, "gap", ["sequence_id"], "gaps")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

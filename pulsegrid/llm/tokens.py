@@ -52,8 +52,8 @@ def cutter(special: dict[str, int], words: bool) -> Pieces:
     return cut
 
 
-def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Spans that can be split alone, and the first of each text.
+def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans that can be split alone: bytes, offsets, and the first of each text.
 
     A unit is white space and the characters after it, so that the last space
     can belong to a word; texts with other than ASCII space stay whole."""
@@ -70,10 +70,7 @@ def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         if not t.isascii() and wide.search(t):
             begins[off[i] + 1:off[i + 1]] = False
     start = np.flatnonzero(begins)
-    bounds = np.concatenate((start, [len(data)])).astype(np.int64)
-    cut = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
-    return cut, np.searchsorted(start, off)
+    return data, np.concatenate((start, [len(data)])).astype(np.int64), np.searchsorted(start, off)
 
 
 class Tokenizer:
@@ -93,8 +90,8 @@ class Tokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column without nulls, and offsets."""
-        cut, first = units(texts)
-        ids, at = self.encoder.encode(cut)
+        data, offsets, first = units(texts)
+        ids, at = self.encoder.encode(data, offsets)
         return ids, at[first]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
