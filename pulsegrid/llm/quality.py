@@ -74,50 +74,42 @@ def measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def votes() -> list[Column]:
-    """One vote per rule: 2 good, 0 bad, 1 abstain.  Shares are compared by
-    multiplication, so that empty texts need no case of their own."""
+    """One vote per rule: 2 good, 0 bad, 1 abstain.  A rule speaks up for one side
+    only and abstains elsewhere.  Shares are compared by multiplication, so that
+    empty texts need no case of their own."""
     c = F.col
-
-    def vote(bad: Column, good: Column) -> Column:
-        return F.when(bad, 0).when(good, 2).otherwise(1)
-
-    return [
-        vote(c("n_words") < 50, c("n_words") >= 100),
-        vote(c("n_repeat_words") * 10 > c("n_words") * 3, c("n_repeat_words") * 20 <= c("n_words")),
-        vote(c("n_symbols") * 20 > c("word_chars"), c("n_symbols") * 200 <= c("word_chars")),
-        vote(c("n_dup_lines") * 10 > c("n_lines") * 3, (c("n_dup_lines") == 0) & (c("n_lines") > 1)),
-        vote(c("n_upper") * 3 > c("n_words"), c("n_upper") * 10 <= c("n_words")),
-        vote(c("n_marks") * 10 > c("n_words"), c("n_marks") * 50 <= c("n_words")),
-        vote((c("word_chars") > c("n_words") * 14) | (c("word_chars") < c("n_words") * 2),
-             (c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 11)),
+    prose = ((c("n_words") >= 50) & (c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 11)
+             & (c("n_symbols") * 50 <= c("n_words")) & (c("n_marks") * 20 <= c("n_words"))
+             & (c("n_upper") * 5 <= c("n_words")) & (c("n_repeat_words") * 5 <= c("n_words")))
+    bad = [
+        c("n_words") < 50,
+        c("n_repeat_words") * 10 > c("n_words") * 3,
+        c("n_symbols") * 20 > c("word_chars"),
+        c("n_dup_lines") * 2 > c("n_lines"),
+        c("n_upper") * 3 > c("n_words"),
+        c("n_marks") * 10 > c("n_words"),
+        (c("word_chars") > c("n_words") * 14) | (c("word_chars") < c("n_words") * 2),
     ]
+    return [F.when(prose, 2).otherwise(1), *[F.when(x, 0).otherwise(1) for x in bad]]
 
 
 def posteriors(patterns: dict[int, int], rules: int, rounds: int = 50) -> dict[int, float]:
     """Probability of being good for each observed pattern of votes.
 
-    Two classes; each rule has a distribution over its three votes in either
-    class, smoothed as if a rule had been seen right eight times in ten.  The
-    starting point is the share of good among the votes cast."""
+    A rule has one accuracy, the share of its votes that are right, smoothed as if
+    it had been right eight times in ten before; abstaining says nothing.  Rules
+    that often contradict the others lose weight, and the classes are alike
+    before any vote, so a text without votes stands at one half."""
     digits = {p: [p // 3 ** j % 3 for j in range(rules)] for p in sorted(patterns)}
-    good = {p: (1 + sum(v == 2 for v in d)) / (2 + sum(v != 1 for v in d)) for p, d in digits.items()}
+    accuracy = [0.8] * rules
+    good: dict[int, float] = {}
     for _ in range(rounds):
-        heavy = [sum(n * (good[p] if k else 1 - good[p]) for p, n in patterns.items()) for k in (0, 1)]
-        table = []
-        for k in (0, 1):
-            prior = [8.0, 10.0, 2.0] if k == 0 else [2.0, 10.0, 8.0]
-            rows = []
-            for j in range(rules):
-                seen = list(prior)
-                for p, n in patterns.items():
-                    seen[digits[p][j]] += n * (good[p] if k else 1 - good[p])
-                total = sum(seen)
-                rows.append([math.log(x / total) for x in seen])
-            table.append(rows)
-        base = [math.log((h + 1) / (sum(heavy) + 2)) for h in heavy]
-        for p, d in digits.items():
-            bad, fine = (base[k] + sum(table[k][j][v] for j, v in enumerate(d)) for k in (0, 1))
-            good[p] = 1 / (1 + math.exp(min(700.0, bad - fine)))
+        weight = [math.log(a / (1 - a)) for a in accuracy]
+        good = {p: 1 / (1 + math.exp(-sum(w * (v - 1) for w, v in zip(weight, d)))) for p, d in digits.items()}
+        for j in range(rules):
+            right = sum(n * (good[p] if digits[p][j] == 2 else 1 - good[p]) for p, n in patterns.items() if digits[p][j] != 1)
+            cast = sum(n for p, n in patterns.items() if digits[p][j] != 1)
+            accuracy[j] = min(0.999, max(0.5, (8 + right) / (10 + cast)))
     return good
 
 
@@ -132,9 +124,9 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counted = materialize(measured(df, id_col, text_col).withColumn("pattern", pattern), "quality")
     patterns = {r["pattern"]: r["n"] for r in counted.groupBy("pattern").agg(F.count("*").alias("n")).collect()}
     good = posteriors(patterns, len(rules)) if patterns else {}
-    known = F.array(*[F.lit(good.get(p, 0.5)) for p in range(3 ** len(rules))])
+    known = F.map_from_arrays(F.array(*[F.lit(p) for p in good]), F.array(*[F.lit(x) for x in good.values()])) if good else None
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return counted.select(
         F.col("id").alias(id_col), *MEASURES, failed.alias("base_failed"),
-        F.element_at(known, F.col("pattern") + 1).alias("p_good"),
+        (F.element_at(known, F.col("pattern")) if good else F.lit(0.5)).alias("p_good"),
     ).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
