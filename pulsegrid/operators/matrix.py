@@ -123,5 +123,15 @@ def drop_sparse(df: DataFrame, share: float = 0.7) -> DataFrame:
     return df.dropna(thresh=int(len(df.columns) * share), subset=[quoted(c) for c in df.columns])
 
 
+def drop_sparse_by(df: DataFrame, chunk: str, share: float = 0.7, ids: Sequence[str] = ("host", "bucket")) -> DataFrame:
+    """The same rule where only columns with a value somewhere in the row's chunk
+    count: silent columns must not make full rows look sparse."""
+    columns = [named(c) for c in df.columns if c != chunk and c not in ids]
+    filled = sum((c.isNotNull().cast("int") for c in columns), F.lit(len(ids)))
+    there = sum((F.max(c.isNotNull().cast("int")) for c in columns), F.lit(len(ids)))
+    present = df.groupBy(chunk).agg(there.alias("_present"))
+    return df.join(present, chunk).where(filled >= F.floor(F.col("_present") * F.lit(share))).select(*[named(c) for c in df.columns])
+
+
 def named_hosts(df: DataFrame, host: str = "host") -> DataFrame:
     return df.where(has_host(F.col(host)))

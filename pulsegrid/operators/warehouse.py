@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +29,9 @@ def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequ
     overwritten while it is read, and a lost executor must not lose rows."""
     from pulsegrid.session import materialize
 
-    touched = new.select(partition).distinct()
-    stored = spark.read.option("mergeSchema", True).parquet(path).join(touched, partition, "left_semi")
+    # A batch touches few partitions; as literals they prune the scan.
+    touched = [r[0] for r in new.select(partition).distinct().collect()]
+    stored = spark.read.option("mergeSchema", True).parquet(path).where(F.col(partition).isin(touched))
     merged = materialize(upsert(stored, new, keys), "upsert")
     (
         merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -48,11 +50,13 @@ def ledger_entries(loaded: DataFrame, key: str = "chunk_id") -> DataFrame:
 
 
 def load_chunks(spark: SparkSession, chunks: DataFrame, table: str, ledger: str, *,
-                keys: Sequence[str], partition: str, key: str = "chunk_id", force: bool = False) -> DataFrame:
-    """Load chunks that are not in the ledger, then mark them.
+                keys: Sequence[str], partition: str, key: str = "chunk_id", force: bool = False,
+                then: Callable[[], None] | None = None) -> DataFrame:
+    """Load chunks that are not in the ledger, run ``then``, and mark them.
 
-    Marking comes last: a failure in between re-loads the chunk, and the upsert
-    makes that harmless.  Returns the new ledger entries."""
+    Marking comes last, after everything that is derived from the chunk: a
+    failure in between re-loads it, and the upsert makes that harmless.  Returns
+    the new ledger entries."""
     from pulsegrid.session import materialize
 
     todo = materialize(pending(chunks, read_or_empty(spark, ledger, f"{key} string, row_count long"), key, force), "load")
@@ -60,6 +64,8 @@ def load_chunks(spark: SparkSession, chunks: DataFrame, table: str, ledger: str,
         upsert_partitions(spark, table, todo, keys, partition)
     else:
         todo.hint("rebalance", partition).write.partitionBy(partition).parquet(table)
+    if then is not None and not todo.isEmpty():
+        then()
     added = ledger_entries(todo, key)
     known = read_or_empty(spark, ledger, f"{key} string, row_count long")
     fresh = materialize(added.join(known.select(key), key, "left_anti"), "ledger")
@@ -82,11 +88,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def archive_and_purge(spark: SparkSession, table: DataFrame, archive_path: str, keep_path: str,
                       cutoff: Column, time: str = "bucket") -> DataFrame:
-    """Write rows before ``cutoff`` to the archive, read it back, and only when
-    the counts agree write the kept rows.  Returns one row of counts."""
+    """Write rows before ``cutoff`` to a folder of this run below the archive, read
+    it back, and only when the counts agree write the kept rows.  Earlier runs'
+    folders stay as they are.  Returns one row of counts over the whole archive."""
     old = table.where(F.col(time) < cutoff)
-    old.write.mode("overwrite").parquet(archive_path)
-    counted = spark.read.parquet(archive_path).agg(F.count(F.lit(1)).alias("archived")).first()["archived"]
+    own = f"{archive_path}/run={uuid.uuid4().hex}"
+    old.write.parquet(own)
+    counted = spark.read.parquet(own).agg(F.count(F.lit(1)).alias("archived")).first()["archived"]
     expected = old.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     if counted != expected:
         raise RuntimeError(f"archive holds {counted} rows, expected {expected}; nothing was purged")

@@ -17,12 +17,13 @@ def feature_matrix(samples: DataFrame, keys: Sequence[str], *, rollups: DataFram
                    width: int = tf.MINUTE, chunk: int = tf.HOUR, rollup_width: int = tf.HOUR,
                    fill_limit: int = 3, share: float = 0.7, **names) -> DataFrame:
     """Pivot, hourly roll-ups, blank hosts out, short gaps filled, sparse rows
-    out, chunk tag on."""
+    out, chunk tag on.  A row is sparse by the columns that its chunk has values
+    for, so several chunks at once give what each gives alone."""
     wide = matrix.named_hosts(matrix.pivot_mean(samples, keys, width=width, **names))
     if rollups is not None:
         wide = matrix.attach_rollups(wide, rollups, width=rollup_width)
     filled = matrix.forward_fill(wide, [c for c in wide.columns if c not in ("host", "bucket")], limit=fill_limit, chunk=chunk)
-    return matrix.drop_sparse(filled, share).withColumn("chunk_id", tf.chunk_id(F.col("bucket"), chunk))
+    return matrix.drop_sparse_by(filled.withColumn("chunk_id", tf.chunk_id(F.col("bucket"), chunk)), "chunk_id", share)
 
 
 def enriched(wide: DataFrame, metrics: Sequence[str], alarms: DataFrame | None, windows: DataFrame | None, *,

@@ -48,9 +48,10 @@ def dimension(spark: SparkSession, at: Layout, table: str) -> DataFrame:
     return spark.read.parquet(f"{at.raw(table)}/latest")
 
 
-def metric_keys(spark: SparkSession, at: Layout) -> list[str]:
-    """Distinct metric keys of the items: the columns of the matrix."""
-    return [r["key_"] for r in dimension(spark, at, "items").select("key_").distinct().orderBy("key_").collect()]
+def metric_keys(facts: DataFrame) -> list[str]:
+    """Distinct metric keys that report in the facts: the columns of the matrix.
+    Items of the inventory that are silent, or hold text, make no columns."""
+    return [r["key_"] for r in facts.select("key_").where("key_ IS NOT NULL").distinct().orderBy("key_").collect()]
 
 
 def named_facts(spark: SparkSession, at: Layout, facts: DataFrame) -> DataFrame:
@@ -68,10 +69,12 @@ def chunk_matrix(spark: SparkSession, at: Layout, which: Sequence[str] | None =
         df = chunks.read_chunks(spark, at.raw(table))
         return df if which is None else df.where(F.col("chunk_id").isin(*which))
 
-    keys = metric_keys(spark, at)
-    trends = facts("trends")
-    rollups = None if trends is None else matrix.pivot_rollups(named_facts(spark, at, trends), keys)
-    wide = enrich.feature_matrix(named_facts(spark, at, facts("history")), keys, rollups=rollups)
+    history, trends = named_facts(spark, at, facts("history")), facts("trends")
+    rollups = None
+    if trends is not None:
+        trends = named_facts(spark, at, trends)
+        rollups = matrix.pivot_rollups(trends, metric_keys(trends))
+    wide = enrich.feature_matrix(history, metric_keys(history), rollups=rollups)
     return wide.withColumn("day", F.date_format("bucket", DAY_FORMAT))
 
 
@@ -141,13 +144,14 @@ def run_chunk(spark: SparkSession, at: Layout, read_range: Callable[[str], DataF
     errors = chunks.validate_files(spark, f"{at.root}/raw", chunk).where("status = 'error'").collect()
     if errors:
         raise ValueError(f"{chunk}: missing {sorted(r['table_name'] for r in errors)}")
-    loaded = warehouse.load_chunks(
+    known = warehouse.read_or_empty(spark, at.ledger, "chunk_id string, row_count long")
+    if not force and not known.where(F.col("chunk_id") == chunk).isEmpty():
+        return "already loaded"
+    warehouse.load_chunks(
         spark, chunk_matrix(spark, at, [chunk]), at.matrix, at.ledger,
         keys=["host", "bucket"], partition="day", force=force,
+        then=lambda: store(spark, at.enriched, enrich_range(spark, at, start, end)),
     )
-    if loaded.isEmpty() and not force:
-        return "already loaded"
-    store(spark, at.enriched, enrich_range(spark, at, start, end))
     return "loaded"
 
 

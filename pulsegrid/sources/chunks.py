@@ -36,7 +36,9 @@ def has_chunks(spark: SparkSession, path: str) -> bool:
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(path)
+    """All chunks; an unreadable file is an error, since a chunk that is half
+    read would be marked as loaded."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def ingest(read_range, read_dim, root: str, chunk_id: str) -> bool:

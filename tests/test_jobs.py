@@ -27,7 +27,8 @@ def source(spark):
         "problem": spark.createDataFrame([], "eventid bigint, objectid bigint, clock bigint, r_eventid bigint, r_clock bigint, name string, severity int"),
         "hosts": spark.createDataFrame([(1, "h1", "H1", 0), (2, "h2", "H2", 0)], "hostid bigint, host string, name string, status int"),
         "items": spark.createDataFrame(
-            [(1, 1, "n", "system.cpu.util", 0, 0), (2, 1, "n", "vm.memory.size[available]", 0, 0), (3, 2, "n", "system.cpu.util", 0, 0), (4, 2, "n", "agent.ping", 0, 0)],
+            [(1, 1, "n", "system.cpu.util", 0, 0), (2, 1, "n", "vm.memory.size[available]", 0, 0), (3, 2, "n", "system.cpu.util", 0, 0), (4, 2, "n", "agent.ping", 0, 0),
+             *[(i, 1, "n", f"system.cpu.silent{i}", 0, 0) for i in range(10, 20)]],
             "itemid bigint, hostid bigint, name string, key_ string, value_type int, status int"),
         "triggers": spark.createDataFrame([(1, "e", "d", 1, 0)], "triggerid bigint, expression string, description string, priority int, status int"),
         "functions": spark.createDataFrame([(1, 1, 1, "f", "p")], "functionid bigint, itemid bigint, triggerid bigint, name string, parameter string"),
@@ -35,7 +36,7 @@ def source(spark):
     return tables
 
 
-def test_hourly_runs_equal_a_rebuild(spark, source):
+def test_hourly_runs_equal_a_rebuild(spark, source, monkeypatch):
     root = work_path(spark, "t-jobs")
     at = jobs.Layout(root, f"{root}/windows")
     labels.append_windows(spark, at.windows, spark.createDataFrame(
@@ -50,6 +51,17 @@ def test_hourly_runs_equal_a_rebuild(spark, source):
     assert run(1, force=True) == "loaded"
     assert run(7) == "no data"
 
+    # a crash between load and enrichment: the retry does all of it
+    crashed = jobs.Layout(work_path(spark, "t-crash"))
+    a, b = START, START + H
+    args = (lambda t: source[t].where((F.col("clock") >= a) & (F.col("clock") < b)), source.__getitem__, a, b)
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "enrich_range", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_chunk(spark, crashed, *args)
+    assert jobs.run_chunk(spark, crashed, *args) == "loaded"
+    assert spark.read.parquet(crashed.enriched).count() == spark.read.parquet(crashed.matrix).count() > 0
+
     to = jobs.Layout(work_path(spark, "t-rebuild"))
     counts = {r["table_name"]: r["n_rows"] for r in jobs.rebuild(spark, at, to).collect()}
     assert counts["ledger"] == 3 and counts["matrix"] == counts["enriched"] > 250

@@ -1,11 +1,14 @@
 """Sources, sinks, chunks, upsert, ledger, archive."""
 
 import datetime as dt
+import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
+from pulsegrid.operators import matrix as matrix_ops
 from pulsegrid.operators import reports, warehouse
 from pulsegrid.plans import enrich
 from pulsegrid.session import work_path
@@ -130,6 +133,31 @@ def test_archive_keeps_what_is_recent(spark, matrix):
     assert (r["archived"], r["kept"], r["oldest_kept"]) == (2, 3, at(10, 2))
 
 
+def test_archive_runs_do_not_replace_each_other(spark, matrix):
+    a = work_path(spark, "t-archives")
+    first = warehouse.archive_and_purge(spark, matrix, a, k := work_path(spark, "t-kept"), tf.ntz("2026-08-19 10:02:00")).first()
+    second = warehouse.archive_and_purge(spark, spark.read.parquet(k), a, work_path(spark, "t-kept"), tf.ntz("2026-08-19 10:04:00")).first()
+    assert (first["archived"], second["archived"], second["kept"]) == (2, 4, 1)
+
+
+def test_upsert_reads_touched_partitions_only(spark):
+    path = work_path(spark, "t-touched")
+    schema = "host string, bucket int, x double, day string"
+    spark.createDataFrame([("h", d, 1.0, f"d{d}") for d in range(4)], schema).write.partitionBy("day").parquet(path)
+    before = {f: os.stat(f).st_ino for f in glob.glob(f"{path.removeprefix('file:')}/day=*/*.parquet")}
+    warehouse.upsert_partitions(spark, path, spark.createDataFrame([("h", 2, 9.0, "d2")], schema), ["host", "bucket"], "day")
+    after = {f: os.stat(f).st_ino for f in glob.glob(f"{path.removeprefix('file:')}/day=*/*.parquet")}
+    assert {f for f in before if "day=d2" not in f} <= set(after)
+    assert rows(spark.read.parquet(path).select("bucket", "x")) == [(0, 1.0), (1, 1.0), (2, 9.0), (3, 1.0)]
+
+
+def test_silent_columns_do_not_make_rows_sparse(spark):
+    quiet = "a double, b double, c double, d double, e double, f double"
+    df = spark.createDataFrame([("h", at(10, i), 1.0, *[None] * 5, "c1") for i in range(3)] + [("h", at(11), *[1.0] * 6, "c2"), ("h", at(11, 1), 1.0, *[None] * 5, "c2")],
+                               f"host string, bucket timestamp_ntz, {quiet}, chunk_id string")
+    assert matrix_ops.drop_sparse_by(df, "chunk_id").groupBy("chunk_id").count().orderBy("chunk_id").collect() == [("c1", 3), ("c2", 1)]
+
+
 def test_feature_matrix_job(spark):
     samples = spark.createDataFrame(
         [("h1", "cpu", at(10, i), float(i)) for i in range(6)] + [("h1", "mem", at(10, 0), 1.0), (" ", "cpu", at(10, 0), 9.0), (None, "cpu", at(10, 0), 9.0)],
