@@ -90,8 +90,9 @@ def chunk_bounds(chunk: Column) -> tuple[Column, Column]:
 
 
 def mixed_epoch(text: Column) -> Column:
-    """Seconds since the epoch from a string that is a number or a timestamp."""
-    stamp = F.try_to_timestamp(text).cast("timestamp_ntz")
+    """Seconds since the epoch from a string that is a number or a timestamp,
+    read as it stands: the session time zone has no influence."""
+    stamp = text.try_cast("timestamp_ntz")
     return F.coalesce(F.expr("1D") * text.try_cast("double"), epoch_seconds(stamp).cast("double"))
 
 

@@ -3,7 +3,9 @@
 Spark's file source lists whole files, so lines appended to a known file never
 show up.  This reader's offset is the number of bytes consumed per file.  It
 stops at the last line break, so a half-written line waits for its end; it
-starts a file over when the file became shorter or its first bytes changed.
+starts a file over when the file became shorter, when it is another file under
+the same name, or when its first line changed, which carries the time of its
+first sample and so differs from one export to the next.
 The files must be on storage that every executor mounts.
 """
 
@@ -16,7 +18,6 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-HEAD_BYTES = 64
 SPLIT_BYTES = 64 * 1024 * 1024
 _TAIL_STEP = 64 * 1024
 
@@ -43,9 +44,11 @@ def _complete_size(path: str) -> int:
     return 0
 
 
-def _head(path: str, size: int) -> str:
+def _identity(path: str) -> list:
+    """Device, inode and digest of the whole first line."""
     with open(path, "rb") as f:
-        return hashlib.sha1(f.read(min(HEAD_BYTES, size))).hexdigest()
+        at = os.fstat(f.fileno())
+        return [at.st_dev, at.st_ino, hashlib.sha1(f.readline()).hexdigest()]
 
 
 class TailReader(DataSourceStreamReader):
@@ -62,12 +65,12 @@ class TailReader(DataSourceStreamReader):
         for path in sorted(_glob.glob(os.path.join(self.folder, self.pattern))):
             size = _complete_size(path)
             if size:
-                now[path] = [size, min(HEAD_BYTES, size), _head(path, size)]
+                now[path] = [size, *_identity(path)]
         return now
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
         parts = []
-        for path, (stop, _, _) in end.items():
+        for path, (stop, *_) in end.items():
             begin = self._resume(path, start.get(path), stop)
             cuts = list(range(begin, stop, self.split)) + [stop]
             parts += [ByteRange(path, a, b, a == begin) for a, b in zip(cuts, cuts[1:])]
@@ -77,8 +80,7 @@ class TailReader(DataSourceStreamReader):
     def _resume(path: str, known: list | None, stop: int) -> int:
         if known is None or known[0] > stop:
             return 0
-        size, head_len, head = known
-        return size if _head(path, head_len) == head else 0
+        return known[0] if _identity(path) == known[1:] else 0
 
     def read(self, partition: ByteRange):
         """A line belongs to the range in which it starts."""

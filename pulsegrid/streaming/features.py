@@ -64,7 +64,8 @@ def rolling_batch(root: str, *, keys: Sequence[str] = ("host", "key_"), column:
 def partial_sums(samples: DataFrame, width: int = tf.MINUTE, time: str = "ts") -> DataFrame:
     """Map-side combine of a micro-batch: each task ships one row per (host,
     key, bucket), so one hot series does not ship its raw samples."""
-    flat = samples.select("host", "key_", F.col(time).alias("ts"), F.unix_micros(F.col(time)).alias("us"), "value")
+    finite = F.when(F.isnan("value") | (F.abs("value") == float("inf")), F.lit(0.0)).otherwise(F.col("value"))
+    flat = samples.select("host", "key_", F.col(time).alias("ts"), F.unix_micros(F.col(time)).alias("us"), finite.alias("value"))
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -99,7 +100,7 @@ def rolling_state(sums: DataFrame, *, width: int = tf.MINUTE, widths: Sequence[i
         series = {t: [s, n] for t, s, n in zip(times, totals, counts)}
         for pdf in batches:
             for t, s, n in zip(pdf["bucket"], pdf["total"], pdf["n"]):
-                if t > done:
+                if t > done and n:  # nothing to average in a bucket of empty values
                     slot = series.setdefault(int(t), [0.0, 0])
                     slot[0] += float(s)
                     slot[1] += int(n)

@@ -8,10 +8,11 @@ from pulsegrid.session import work_path
 
 
 def drain(stream: DataFrame, label: str, *, each=None, mode: str = "append", checkpoint: str | None = None,
-          out: str | None = None, timeout: int = 600) -> str:
+          out: str | None = None, timeout: float | None = None) -> str:
     """Process all available input and stop.  Without ``each`` the rows go to a
     parquet sink (exactly once through its commit log).  Returns the output or
-    checkpoint path; give the same ``checkpoint`` and ``out`` to resume."""
+    checkpoint path; give the same ``checkpoint`` and ``out`` to resume.  There is
+    no time limit unless the caller sets one, in seconds."""
     spark = stream.sparkSession
     checkpoint = checkpoint or work_path(spark, f"{label}-checkpoint")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -20,7 +21,9 @@ def drain(stream: DataFrame, label: str, *, each=None, mode: str = "append", che
     else:
         out = out or work_path(spark, label)
         query = writer.format("parquet").option("path", out).start()
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"{label}: input not drained within {timeout} s")
     return out or checkpoint

@@ -297,3 +297,16 @@ def test_fallback(spark):
     other = spark.range(10, 12)
     assert asof.with_fallback(full, other).count() == 3
     assert sorted(r["id"] for r in asof.with_fallback(empty, other).collect()) == [10, 11]
+
+
+def test_mixed_epoch_is_free_of_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2024-03-10 02:30:00",), ("1710037800",), ("x",)], "raw string")
+    try:
+        got = []
+        for z in ("UTC", "America/New_York", "Europe/Istanbul"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got.append([r[0] for r in df.select(tf.mixed_epoch(F.col("raw"))).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [[1710037800.0, 1710037800.0, None]] * 3

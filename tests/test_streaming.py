@@ -1,5 +1,6 @@
 """Tailing, closing, de-duplication, replay."""
 
+import datetime as dt
 import json
 import os
 
@@ -66,6 +67,41 @@ def test_rotation_to_a_longer_file(export):
     assert [r[0] for r in reader.read(part)] == ["ccc", "ddd", "eee", "fff"]
 
 
+def test_rotation_to_a_longer_file_of_the_same_host(export):
+    path = export / "history-a.ndjson"
+    host = "a-host-with-a-name-longer-than-any-fixed-number-of-leading-bytes.example.org"
+    old, new = ([line(clock=c + i, host=host) for i in range(n)] for c, n in ((100, 2), (900, 5)))
+    path.write_text("\n".join(old) + "\n")
+    reader = TailReader({"path": str(export)})
+    first = reader.latestOffset()
+    path.write_text("\n".join(new) + "\n")
+    (part,) = reader.partitions(first, reader.latestOffset())
+    assert [r[0] for r in reader.read(part)] == new
+    other = export / "fresh"
+    other.write_text("\n".join(new[:1] * 9) + "\n")
+    second = reader.latestOffset()
+    os.replace(other, path)  # another file with the same first line
+    (part,) = reader.partitions(second, reader.latestOffset())
+    assert part.start == 0
+
+
+def test_values_that_are_no_finite_number_and_clocks_ahead(spark):
+    raw = [line(clock=60, value="NaN"), line(clock=61, value="Infinity"), line(clock=62, value=None), line(clock=1_700_000_000_000), line(clock=63, value=2.5)]
+    got = samples.live_samples(samples.parse_lines(spark.createDataFrame([(r,) for r in raw], "line string")))
+    assert sorted((r["clock"], r["value"]) for r in got.collect()) == [(60, 0.0), (61, 0.0), (62, 0.0), (63, 2.5)]
+
+
+def test_stateful_features_outlive_empty_and_odd_values(spark, tmp_path):
+    schema = "host string, key_ string, ts timestamp, value double"
+    odd = [("h", "k", dt.datetime(2026, 1, 1, 0, m), v) for m, v in enumerate([1.0, None, float("nan"), 4.0, None, float("inf"), 2.0, 3.0, 5.0])]
+    spark.createDataFrame(odd, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    state = rolling_state(partial_sums(stream).withWatermark("ts", "1 minute"))
+    out = drain(state, "t-odd")
+    got = {r["bucket"] // 60 % 60: r["value"] for r in spark.read.schema(state.schema).parquet(out).collect()}
+    assert got[0] == 1.0 and 1 not in got and got[2] == 0.0 and got[3] == 4.0 and got[5] == 0.0
+
+
 def test_small_splits_read_every_line_once(export):
     lines = [f"line-{i}" * (i % 7 + 1) for i in range(200)]
     (export / "history-a.ndjson").write_text("\n".join(lines) + "\n")
