@@ -49,21 +49,18 @@ def shared_times(train: DataFrame, test: DataFrame, time: str = "bucket") -> Dat
     return train.join(test.select(time), time, "left_semi").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def audit_split(df: DataFrame, split: Column, time: str = "bucket") -> DataFrame:
-    """Ordering rules of a split: one row per rule.
-
-    A time cannot be on both sides when train ends before the split and test
-    starts at or after it; the shared-time rule is still counted from the rows."""
-    s = df.groupBy(time).agg(
-        F.max((F.col(time) < split).cast("int")).alias("tr"), F.max((F.col(time) >= split).cast("int")).alias("te")
-    ).agg(
-        F.count_if((F.col("te") == 1) & (F.col(time) < split)).alias("test_before_split"),
-        F.count_if((F.col("tr") == 1) & (F.col(time) >= split)).alias("train_after_split"),
-        F.count_if((F.col("tr") == 1) & (F.col("te") == 1)).alias("shared_times"),
-    )
-    rules = ("test_before_split", "train_after_split", "shared_times")
-    rows = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("offending")) for r in rules])
-    return s.select(F.explode(rows).alias("_r")).select("_r.*").withColumn("passed", F.col("offending") == 0)
+def audit_split(train: DataFrame, test: DataFrame, split: Column, time: str = "bucket") -> DataFrame:
+    """Ordering rules of a train and a test table: one row per rule with the
+    number of rows that break it."""
+    def count(df: DataFrame, condition: Column) -> Column:
+        return df.agg(F.count_if(condition).alias("n")).scalar()
+
+    both = train.join(test.select(time).distinct(), time, "left_semi").agg(F.count(F.lit(1)).alias("n")).scalar()
+    broken = {"test_before_split": count(test, F.col(time) < split), "train_after_split": count(train, F.col(time) >= split),
+              "shared_times": both}
+    one = train.sparkSession.range(1)
+    rows = F.array(*[F.struct(F.lit(r).alias("rule"), n.alias("offending")) for r, n in broken.items()])
+    return one.select(F.explode(rows).alias("_r")).select("_r.*").withColumn("passed", F.col("offending") == 0)
 
 
 def rolling_zscore(df: DataFrame, metric: str, widths: Sequence[int], ids: Sequence[str] = ("host", "bucket")) -> DataFrame:

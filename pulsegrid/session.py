@@ -33,6 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

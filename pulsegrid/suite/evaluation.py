@@ -168,9 +168,25 @@ def split_overlap_check(spark, sf):
     return shared.withColumn("shared_hosts", hosts.scalar())
 
 
-@query("audit_split", """SELECT unnest(['test_before_split', 'train_after_split', 'shared_times']) AS rule, 0::BIGINT AS offending, true AS passed""")
+def _audited(pair: str, train: str, test: str) -> str:
+    cut = f"TIMESTAMP '{SPLIT}'"
+    parts = {
+        "test_before_split": f"SELECT count(*) FROM m WHERE {test} AND bucket < {cut}",
+        "train_after_split": f"SELECT count(*) FROM m WHERE {train} AND bucket >= {cut}",
+        "shared_times": f"SELECT count(*) FROM m WHERE {train} AND bucket IN (SELECT bucket FROM m WHERE {test})",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{pair}' AS pair, '{rule}' AS rule, ({sql}) AS offending, ({sql}) = 0 AS passed" for rule, sql in parts.items())
+
+
+@query("audit_split", f"""{WIDE} {_audited("apart", f"bucket < TIMESTAMP '{SPLIT}'", f"bucket >= TIMESTAMP '{SPLIT}'")}
+ UNION ALL {_audited("overlapping", f"bucket < TIMESTAMP '{SPLIT}' + INTERVAL 1 DAY", f"bucket >= TIMESTAMP '{SPLIT}' - INTERVAL 1 DAY")}""")
 def audit_split(spark, sf):
-    return evaluate.audit_split(roles.wide(spark, sf), roles.split())
+    m, cut, day = roles.wide(spark, sf), roles.split(), 86400
+    apart = evaluate.audit_split(*evaluate.time_split(m, cut), cut)
+    late, early = tf.plus_seconds(cut, day), tf.plus_seconds(cut, -day)
+    overlapping = evaluate.audit_split(m.where(F.col("bucket") < late), m.where(F.col("bucket") >= early), cut)
+    return apart.select(F.lit("apart").alias("pair"), "*").union(overlapping.select(F.lit("overlapping").alias("pair"), "*"))
 
 
 # ---- evaluation --------------------------------------------------------------------

@@ -1,11 +1,13 @@
 """Every query against its SQL on the smallest tables."""
 
+from functools import cache
+
 import pytest
 
 from pulsegrid.suite import load
 from tools.check import compare, duck
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 QUERIES, SQL = load()
 
 
@@ -14,10 +16,17 @@ def con():
     return duck(SF)
 
 
+@cache
+def larger():
+    return duck(LARGER)
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, con, name):
     note = compare(QUERIES[name](spark, SF), con, SQL[name])
-    assert note is None or note.startswith("EMPTY"), note
+    if note is not None and note.startswith("EMPTY"):  # two empty results prove nothing
+        note = compare(QUERIES[name](spark, LARGER), larger(), SQL[name])
+    assert note is None, note
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
