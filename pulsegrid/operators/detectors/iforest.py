@@ -88,8 +88,8 @@ def score(rows: DataFrame, forest: DataFrame, features: str, *, sample: int = SA
     is shipped to the tasks once."""
     t = forest.toPandas()
     n_trees, width = t["tree"].nunique(), int(t["node"].max()) + 1
-    if n_trees * width > TREES * 4 * SAMPLE:
-        raise ValueError("forest larger than trees x nodes allow")
+    if width > 4 * sample:
+        raise ValueError(f"trees have {width} nodes, more than samples of {sample} rows can give")
     index = {tree: i for i, tree in enumerate(sorted(t["tree"].unique()))}
     i, j = t["tree"].map(index).to_numpy(), t["node"].to_numpy()
     grid = lambda col, fill, kind: _fill((n_trees, width), fill, kind, i, j, t[col].to_numpy())

@@ -31,6 +31,26 @@ def fit(windows: DataFrame, *, sequence: str = "sequence", latent: int = LATENT)
     return mean, model.pc.toArray()
 
 
+def reduce_rows(rows: DataFrame, normal: DataFrame, features: str, *, latent: int = LATENT) -> DataFrame:
+    """``rows`` with the principal components of their features as ``_latent{i}``,
+    fitted on ``normal``, and ``_rest``, the squared length of what they leave."""
+    vectors = normal.select(array_to_vector(features).alias("v"))
+    length = len(normal.select(F.col(features).alias("f")).first()["f"])
+    k = min(latent, length)
+    pc = PCA(k=k, inputCol="v", outputCol="p").fit(vectors).pc.toArray()
+    mean = vectors.select(Summarizer.mean(vectors["v"]).alias("m")).first()["m"].toArray()
+
+    @F.pandas_udf("array<double>")
+    def parts(x: pd.Series) -> pd.Series:
+        centred = np.stack(x.to_numpy()).astype(float) - mean
+        own = centred @ pc
+        rest = np.maximum(0.0, (centred ** 2).sum(axis=1) - (own ** 2).sum(axis=1))
+        return pd.Series(list(np.hstack([own, rest[:, None]])))
+
+    out = rows.withColumn("_parts", parts(features))
+    return out.select("*", *[F.col("_parts")[i].alias(f"_latent{i}") for i in range(k)], F.col("_parts")[k].alias("_rest")).drop("_parts")
+
+
 def score(windows: DataFrame, model: tuple[np.ndarray, np.ndarray], n_features: int, *, sequence: str = "sequence", out: str = "score") -> DataFrame:
     mean, pc = model
 

@@ -11,8 +11,6 @@ from pulsegrid.functions import timeflow as tf
 from pulsegrid.functions.metrics import has_host, named, quoted
 
 
-# more metric keys than this are averaged per key before they become columns
-DIRECT_KEYS = 16
 
 
 def join_dimensions(facts: DataFrame, links: Sequence[tuple[DataFrame, Sequence[str] | str]]) -> DataFrame:
@@ -38,18 +36,14 @@ def pivot_mean(
 ) -> DataFrame:
     """(bucket, host) x key mean.
 
-    Few keys: one hash aggregate with a conditional mean per key, so that
-    partial sums are built before the only shuffle.  Many keys: means per
-    (host, key, bucket) first, since testing every key for every raw sample
-    would cost more than a second, far smaller shuffle.
+    Means per (host, key, bucket) come first, with partial sums before the
+    shuffle: testing every key for every raw sample would cost more than the
+    second, far smaller shuffle.
     """
     samples = samples.where(F.col(key).isin(*keys))
-    bucket = tf.bucket_start(F.col(time), width)
-    if len(keys) > DIRECT_KEYS:
-        samples = long_means(samples, width=width, host=host, time=time, key=key, value=value)
-        bucket, host, key, value = F.col("bucket"), "host", "key_", "value"
-    means = [F.avg(F.when(F.col(key) == k, F.col(value))).alias(k) for k in keys]
-    return samples.groupBy(F.col(host).alias("host"), bucket.alias("bucket")).agg(*means)
+    long = long_means(samples, width=width, host=host, time=time, key=key, value=value)
+    means = [F.max(F.when(F.col("key_") == k, F.col("value"))).alias(k) for k in keys]
+    return long.groupBy("host", "bucket").agg(*means)
 
 
 def long_means(
@@ -76,16 +70,14 @@ def pivot_rollups(
     columns = {"avg": "value_avg", "min": "value_min", "max": "value_max"}
     trends = trends.where(F.col(key).isin(*keys))
     period = tf.bucket_start(F.col(time), width)
-    if len(keys) > DIRECT_KEYS:
-        trends = trends.groupBy(F.col(host).alias("host"), F.col(key).alias("key_"), period.alias("period")).agg(
-            *[F.avg(c).alias(c) for c in columns.values()]
-        )
-        period, host, key = F.col("period"), "host", "key_"
+    long = trends.groupBy(F.col(host).alias("host"), F.col(key).alias("key_"), period.alias("period")).agg(
+        *[F.avg(c).alias(c) for c in columns.values()]
+    )
     stats = [
-        F.avg(F.when(F.col(key) == k, F.col(c))).alias(f"{k}_hourly_{suffix}")
+        F.max(F.when(F.col("key_") == k, F.col(c))).alias(f"{k}_hourly_{suffix}")
         for k in keys for suffix, c in columns.items()
     ]
-    return trends.groupBy(F.col(host).alias("host"), period.alias("period")).agg(*stats)
+    return long.groupBy("host", "period").agg(*stats)
 
 
 def attach_rollups(matrix: DataFrame, rollups: DataFrame, *, width: int = tf.HOUR) -> DataFrame:

@@ -18,8 +18,12 @@ LOG_PAGE_MAX = 1_000
 HOURS_MAX = 720
 
 
-def clamp(n: int, low: int, high: int) -> int:
-    return max(low, min(int(n), high))
+def bounded(n: int, low: int, high: int) -> int:
+    """``n``, at least ``low``.  More than ``high`` is an error: a report must not
+    answer for less than it was asked."""
+    if int(n) > high:
+        raise ValueError(f"{n} is above the bound of {high}")
+    return max(low, int(n))
 
 
 def _filtered(df: DataFrame, time: str, equal: dict, start, end) -> DataFrame:
@@ -45,7 +49,7 @@ def feature_page(df: DataFrame, *, host: str | None = None, start: Column | None
             raise ValueError(f"unknown column(s): {unknown}")
         df = df.select(*keys, *[named(c) for c in columns if c not in keys])
     hit = _filtered(df, time, {"host": host}, start, end)
-    page = hit.orderBy(time, "host").offset(max(0, int(offset))).limit(clamp(limit, 1, FEATURE_PAGE_MAX))
+    page = hit.orderBy(time, "host").offset(max(0, int(offset))).limit(bounded(limit, 1, FEATURE_PAGE_MAX))
     return page, hit.agg(F.count(F.lit(1)).alias("total"))
 
 
@@ -54,17 +58,17 @@ def alert_page(alerts: DataFrame, *, model: str | None = None, host: str | None
                offset: int = 0, time: str = "bucket") -> tuple[DataFrame, DataFrame]:
     """Newest first, ties broken by host and model."""
     hit = _filtered(alerts, time, {"model": model, "host": host}, start, end)
-    page = hit.orderBy(F.desc(time), "host", "model").offset(max(0, int(offset))).limit(clamp(limit, 1, ALERT_PAGE_MAX))
+    page = hit.orderBy(F.desc(time), "host", "model").offset(max(0, int(offset))).limit(bounded(limit, 1, ALERT_PAGE_MAX))
     return page, hit.agg(F.count(F.lit(1)).alias("total"))
 
 
 def newest(df: DataFrame, order: Sequence[Column], limit: int = 100) -> DataFrame:
-    return df.orderBy(*order).limit(clamp(limit, 1, LOG_PAGE_MAX))
+    return df.orderBy(*order).limit(bounded(limit, 1, LOG_PAGE_MAX))
 
 
 def last_hours(df: DataFrame, hours: int, as_of: Column, time: str = "bucket") -> DataFrame:
     """Rows of the last ``hours`` before ``as_of`` (a literal or a scalar subquery)."""
-    return df.where(F.col(time) >= tf.plus_seconds(as_of, -clamp(hours, 1, HOURS_MAX) * tf.HOUR))
+    return df.where(F.col(time) >= tf.plus_seconds(as_of, -bounded(hours, 1, HOURS_MAX) * tf.HOUR))
 
 
 def score_series(alerts: DataFrame, model: str, hours: int, as_of: Column, time: str = "bucket") -> DataFrame:

@@ -22,7 +22,7 @@ class Settings:
     seq_quantile: float = 0.95
     top_k: int = 300
     seq_len: int = 60
-    seq_features: int = 8
+    row_latent: int = seqrecon.LATENT
     impute: str = "mean"
     width: int = tf.MINUTE
     widths: Sequence[int] = (5, 30, 60)
@@ -72,16 +72,21 @@ def run(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
         iforest.score(rows, forest, "x").withColumn("model", F.lit("isolation_forest")),
         ocsvm.score(rows, boundary, "x").withColumn("model", F.lit("one_class")),
     ]
-    # a sequence repeats every value seq_len times, so the model takes the lead features only
-    lead = selected[: s.seq_features]
+    # A sequence repeats every value seq_len times.  All selected features are first
+    # reduced to a few per row, sequences are built of these, and what the first
+    # step loses counts in the score.
+    reduced = seqrecon.reduce_rows(rows, fit_rows.where("y_true = 0"), "x", latent=s.row_latent)
+    lead = [c for c in reduced.columns if c.startswith("_latent")]
     seqs = materialize(
-        rolling.sequences(rows.select(*s.row_key, "side", "y_true", "anomaly", *[named(c) for c in lead]), lead, length=s.seq_len,
+        rolling.sequences(reduced.select(*s.row_key, "side", "y_true", "anomaly", "_rest", *lead), lead, length=s.seq_len,
                           width=s.width, block=s.block),
         "sequences",
     )
     normal = seqs.where("side = 'train' AND y_true = 0")
     recon = seqrecon.fit(normal)
     seq_scores = seqrecon.score(seqs, recon, len(lead)).withColumn("model", F.lit("sequence"))
+    # both parts of the error are orthogonal, so squares add up
+    seq_scores = seq_scores.withColumn("score", (F.col("score") * len(lead) + F.col("_rest")) / len(selected))
 
     columns = ["model", *s.row_key, "side", "y_true", "anomaly", "score"]
     scores = seq_scores.select(*columns)

@@ -56,16 +56,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-SMALL_ROWS = 10_000
-
-
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Compute a result that is expected to be small, once, and give it back
     with a size that Spark knows, so that its own threshold decides whether a
-    join broadcasts it.  Up to ``SMALL_ROWS`` rows become a local table; a
-    larger result is stored like any other table."""
-    spark = df.sparkSession
-    head = df.limit(SMALL_ROWS + 1).toArrow()
-    if head.num_rows <= SMALL_ROWS:
-        return spark.createDataFrame(head, schema=df.schema)
+    join broadcasts it."""
     return materialize(df, label)

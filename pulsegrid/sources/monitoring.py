@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # status codes of monitored hosts and active items, problem-event codes.
 STATEMENT_TIMEOUT_S = 15
 FETCH_ROWS = 50_000
-ATTEMPTS = 3
 HOST_STATUSES = (0, 1)
 ITEM_ACTIVE = 0
 EVENT_SOURCE, EVENT_PROBLEM = 0, 1

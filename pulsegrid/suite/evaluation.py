@@ -317,16 +317,16 @@ def run_metrics(spark, sf):
 # ---- features --------------------------------------------------------------------------
 
 CALENDAR = ["hour_of_day", "day_of_week", "is_weekend"]
-FEATURES = CALENDAR + [f"{k}_{st}_{w}m" for k in KEYS[:3] for w in WIDTHS for st in ("avg", "std", "trend")]
+FEATURES = CALENDAR + [f"{k}_{st}_{w}m" for k in KEYS for w in WIDTHS for st in ("avg", "std", "trend")]
 
 
 def feature_table(spark, sf):
-    base = roles.wide(spark, sf).select("host", "bucket", *KEYS[:3])
-    return rolling.rolling_stats(base, KEYS[:3], **ROLL).withColumns(tf.calendar(F.col("bucket")))
+    base = roles.wide(spark, sf).select("host", "bucket", *KEYS)
+    return rolling.rolling_stats(base, KEYS, **ROLL).withColumns(tf.calendar(F.col("bucket")))
 
 
 FT = "ft AS (SELECT host, bucket, extract(hour FROM bucket)::DOUBLE AS hour_of_day, (isodow(bucket) - 1)::DOUBLE AS day_of_week, (isodow(bucket) >= 6)::INT::DOUBLE AS is_weekend, " + ", ".join(
-    f"{roles.sql_stat(k, st, w)} AS {k}_{st}_{w}m" for k in KEYS[:3] for w in WIDTHS for st in ("avg", "std", "trend")) + " FROM m)"
+    f"{roles.sql_stat(k, st, w)} AS {k}_{st}_{w}m" for k in KEYS for w in WIDTHS for st in ("avg", "std", "trend")) + " FROM m)"
 FEAT = f"{WIDE}, {FT}, trn AS (SELECT * FROM ft WHERE bucket < TIMESTAMP '{SPLIT}')"
 LONG = f"{FEAT}, lg AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS value, bucket >= TIMESTAMP '{SPLIT}' AS is_test FROM ft" for f in FEATURES) + ")"
 
@@ -387,10 +387,10 @@ def scaler_stats(spark, sf):
 @query("median_shift", f"""{LONG}, md AS (SELECT feature, quantile_cont(value, 0.5) FILTER (NOT is_test) AS med_train,
  quantile_cont(value, 0.5) FILTER (is_test) AS med_test FROM lg GROUP BY feature)
 SELECT feature, round(med_train + 3e-8, 6) AS med_train, round(med_test + 3e-8, 6) AS med_test,
- round(least(abs(med_test - med_train) / (abs(med_train) + 1e-9), 1000000) + 3e-6, 4) AS shift, abs(med_test - med_train) / (abs(med_train) + 1e-9) > 2 AS shifted FROM md""")
+ CASE WHEN med_train <> 0 THEN round(abs(med_test - med_train) / (abs(med_train) + 1e-9) + 3e-6, 4) END AS shift, abs(med_test - med_train) / (abs(med_train) + 1e-9) > 2 AS shifted FROM md""")
 def median_shift(spark, sf):
     out = features.median_shift(materialize(feature_table(spark, sf), "features"), FEATURES, F.col("bucket") >= roles.split())
-    return rounded(rounded(out, "med_train", "med_test").withColumn("shift", F.least("shift", F.lit(1e6))), "shift", digits=4)
+    return rounded(rounded(out.withColumn("shift", F.when(F.col("med_train") != 0, F.col("shift"))), "med_train", "med_test"), "shift", digits=4)
 
 
 @query("feature_set_check", """
@@ -449,8 +449,8 @@ def seqrecon_scores(spark, sf):
 
 
 def trained(spark, sf):
-    s = retrain.Settings(width=WIDTH, widths=WIDTHS, block=roles.BLOCK, top_k=20, min_test_rows=300, trees=100, ocsvm_steps=20)
-    return retrain.run(roles.wide(spark, sf).select("host", "bucket", *KEYS[:3]), KEYS[:3], roles.windows(spark, sf), roles.split(), s)
+    s = retrain.Settings(width=WIDTH, widths=WIDTHS, block=roles.BLOCK)
+    return retrain.run(roles.wide(spark, sf).select("host", "bucket", *KEYS), KEYS, roles.windows(spark, sf), roles.split(), s)
 
 
 @query("predictions_table")

@@ -36,7 +36,9 @@ def test_feature_page(spark, matrix):
     page, total = reports.feature_page(matrix, limit=3, columns=["system.cpu.util"])
     assert page.count() == 3 and total.first()["total"] == 5
     assert page.columns == ["bucket", "host", "system.cpu.util"]
-    assert reports.feature_page(matrix, limit=10**9)[0].count() == 5
+    assert reports.feature_page(matrix, limit=10_000)[0].count() == 5
+    with pytest.raises(ValueError):
+        reports.feature_page(matrix, limit=10**9)
     assert reports.feature_page(matrix, start=tf.ntz("2026-08-19 10:02:00"), end=tf.ntz("2026-08-19 10:03:00"))[0].count() == 2
     with pytest.raises(ValueError):
         reports.feature_page(matrix, columns=["nope"])
