@@ -387,12 +387,13 @@ def semi_active_items(spark, sf):
 
 @query("join_hourly_trends", f"""{roles.WIDE}, {roles.TR}, t AS (SELECT host, ts, """
        + ", ".join(f"avg(value_{st}) FILTER (key_ = '{k}') AS {k}_hourly_{st}" for k in KEYS for st in ("avg", "min", "max"))
-       + " FROM tr GROUP BY 1, 2) SELECT m.host, m.bucket, round(m.click + 3e-8, 6) AS click, "
+       + " FROM tr GROUP BY 1, 2) SELECT m.host, m.bucket, "
+       + ", ".join(f"round(m.{k} + 3e-8, 6) AS {k}" for k in KEYS) + ", "
        + ", ".join(f"round(t.{k}_hourly_{st} + 3e-8, 6) AS {k}_hourly_{st}" for k in KEYS for st in ("avg", "min", "max"))
        + " FROM m LEFT JOIN t ON m.host = t.host AND m.bucket = t.ts")
 def join_hourly_trends(spark, sf):
     roll = matrix.pivot_rollups(roles.trends(spark, sf), KEYS)
-    out = matrix.attach_rollups(roles.wide(spark, sf).select("host", "bucket", "click"), roll)
+    out = matrix.attach_rollups(roles.wide(spark, sf), roll)
     return rounded(out, *[c for c in out.columns if c not in ("host", "bucket")])
 
 
@@ -529,11 +530,11 @@ def ffill_limit3(spark, sf):
 
 @query("minute_grid", f"""{roles.WIDE}, e AS (SELECT host, min(bucket) AS lo, max(bucket) AS hi FROM m GROUP BY host),
  g AS (SELECT host, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS bucket FROM e)
-SELECT g.host, g.bucket, round(m.click + 3e-8, 6) AS click FROM g LEFT JOIN m ON m.host = g.host AND m.bucket = g.bucket""")
+SELECT g.host, g.bucket, {", ".join(f"round(m.{k} + 3e-8, 6) AS {k}" for k in KEYS)} FROM g LEFT JOIN m ON m.host = g.host AND m.bucket = g.bucket""")
 def minute_grid(spark, sf):
-    m = roles.wide(spark, sf).select("host", "bucket", "click")
+    m = roles.wide(spark, sf)
     grid = rolling.bucket_grid(m, width=WIDTH, block=roles.BLOCK)
-    return rounded(grid.join(m, ["host", "bucket"], "left"), "click")
+    return rounded(grid.join(m, ["host", "bucket"], "left"), *KEYS)
 
 
 def sql_rolling(stat):
@@ -561,15 +562,15 @@ def rolling_trend(spark, sf):
     return rolled(spark, sf, "trend")
 
 
-CLICK_COLS = [f"click_{st}_{w}m" for w in WIDTHS for st in ("avg", "std", "trend")]
+ROLLED_COLS = [f"{k}_{st}_{w}m" for k in KEYS for w in WIDTHS for st in ("avg", "std", "trend")]
 
 
-@query("rolling_with_history", f"{roles.ROLLED} SELECT host, bucket, " + ", ".join(f"round({c} + 3e-8, 6) AS {c}" for c in CLICK_COLS)
+@query("rolling_with_history", f"{roles.ROLLED} SELECT host, bucket, " + ", ".join(f"round({c} + 3e-8, 6) AS {c}" for c in ROLLED_COLS)
        + f" FROM r WHERE bucket >= TIMESTAMP '{roles.SPLIT}'")
 def rolling_with_history(spark, sf):
-    m = roles.wide(spark, sf).select("host", "bucket", "click")
+    m = roles.wide(spark, sf)
     train, test = m.where(F.col("bucket") < roles.split()), m.where(F.col("bucket") >= roles.split())
-    return rounded(rolling.rolling_with_history(test, train, ["click"], **ROLL).drop("click"), *CLICK_COLS)
+    return rounded(rolling.rolling_with_history(test, train, KEYS, **ROLL).drop(*KEYS), *ROLLED_COLS)
 
 
 @query("coverage_gaps", f"""{roles.WIDE}, g AS (SELECT host, lag(bucket) OVER (PARTITION BY host ORDER BY bucket) AS gap_from, bucket AS gap_to FROM m
@@ -603,17 +604,17 @@ SQL_ENRICHED = f"""{roles.ROLLED}, {SQL_SPANS},
  f AS (SELECT r.*, round(coalesce((epoch_us(r.bucket) - epoch_us(a.alarm_ts)) / 60000000.0, 999999) + 3e-8, 6) AS time_since_last_alarm,
   (EXISTS (SELECT 1 FROM sp WHERE sp.host = r.host AND r.bucket >= sp.start_ts AND r.bucket < sp.end_ts))::INT AS is_anomaly
   FROM r ASOF LEFT JOIN a ON r.host = a.host AND r.bucket >= a.alarm_ts)
-SELECT host, bucket, {", ".join(f"round({c} + 3e-8, 6) AS {c}" for c in CLICK_COLS)}, time_since_last_alarm, is_anomaly FROM f"""
+SELECT host, bucket, {", ".join(f"round({c} + 3e-8, 6) AS {c}" for c in ROLLED_COLS)}, time_since_last_alarm, is_anomaly FROM f"""
 
 
 def enriched(spark, sf):
     # the matrix is a table of its own; features read it, not the raw samples
     matrix_table = materialize(roles.wide(spark, sf), "matrix")
     out = enrich.enriched(
-        matrix_table, ["click"], roles.alarms(spark, sf), roles.windows(spark, sf),
+        matrix_table, KEYS, roles.alarms(spark, sf), roles.windows(spark, sf),
         label_seconds=10 * tf.HOUR, **ROLL,
     )
-    return rounded(out, *CLICK_COLS, "time_since_last_alarm")
+    return rounded(out, *ROLLED_COLS, "time_since_last_alarm")
 
 
 @query("enriched_features", SQL_ENRICHED)
@@ -624,28 +625,30 @@ def enriched_features(spark, sf):
 @query("incremental_features", f"SELECT * FROM ({SQL_ENRICHED}) WHERE bucket >= TIMESTAMP '2024-01-10' AND bucket < TIMESTAMP '2024-01-20'")
 def incremental_features(spark, sf):
     out = enrich.enriched_range(
-        roles.wide(spark, sf), ["click"], roles.alarms(spark, sf), roles.windows(spark, sf),
+        roles.wide(spark, sf), KEYS, roles.alarms(spark, sf), roles.windows(spark, sf),
         tf.ntz("2024-01-10 00:00:00"), tf.ntz("2024-01-20 00:00:00"), label_seconds=10 * tf.HOUR, **ROLL,
     )
-    return rounded(out, *CLICK_COLS, "time_since_last_alarm")
+    return rounded(out, *ROLLED_COLS, "time_since_last_alarm")
 
 
-@query("zscore", f"""{roles.WIDE}, t AS (SELECT avg(click) AS mu, stddev_pop(click) AS sd FROM m WHERE bucket < TIMESTAMP '{roles.SPLIT}')
-SELECT host, bucket, round((click - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END + 3e-8, 6) AS z FROM m, t""")
+@query("zscore", f"""{roles.WIDE}, t AS (SELECT {", ".join(f"avg({k}) AS mu_{k}, stddev_pop({k}) AS sd_{k}" for k in KEYS)}
+  FROM m WHERE bucket < TIMESTAMP '{roles.SPLIT}')
+SELECT host, bucket, {", ".join(f"round(({k} - mu_{k}) / CASE WHEN sd_{k} = 0 THEN 1 ELSE sd_{k} END + 3e-8, 6) AS z_{k}" for k in KEYS)} FROM m, t""")
 def zscore(spark, sf):
-    m = roles.wide(spark, sf).select("host", "bucket", "click")
+    m = roles.wide(spark, sf)
     train = m.where(F.col("bucket") < roles.split())
-    mu, sd = train.agg(F.avg("click")).scalar(), train.agg(F.stddev_pop("click")).scalar()
-    return m.select("host", "bucket", roles.rnd(ratios.zscore(F.col("click"), mu, sd)).alias("z"))
+    stat = lambda f, k: train.agg(f(k)).scalar()
+    return m.select("host", "bucket", *[
+        roles.rnd(ratios.zscore(F.col(k), stat(F.avg, k), stat(F.stddev_pop, k))).alias(f"z_{k}") for k in KEYS])
 
 
-@query("impute_mean", f"""{roles.WIDE}, t AS (SELECT avg(click) AS mu FROM m WHERE bucket < TIMESTAMP '{roles.SPLIT}')
-SELECT host, bucket, round(coalesce(click, mu) + 3e-8, 6) AS click_mean, round(coalesce(click, 0) + 3e-8, 6) AS click_zero FROM m, t""")
+@query("impute_mean", f"""{roles.WIDE}, t AS (SELECT {", ".join(f"avg({k}) AS mu_{k}" for k in KEYS)} FROM m WHERE bucket < TIMESTAMP '{roles.SPLIT}')
+SELECT host, bucket, {", ".join(f"round(coalesce({k}, mu_{k}) + 3e-8, 6) AS {k}_mean, round(coalesce({k}, 0) + 3e-8, 6) AS {k}_zero" for k in KEYS)} FROM m, t""")
 def impute_mean(spark, sf):
-    m = roles.wide(spark, sf).select("host", "bucket", "click")
-    mu = m.where(F.col("bucket") < roles.split()).agg(F.avg("click")).scalar()
-    x = F.col("click")
-    return m.select(
-        "host", "bucket", roles.rnd(ratios.impute(x, mu)).alias("click_mean"),
-        roles.rnd(ratios.impute(x, mu, "zero")).alias("click_zero"),
-    )
+    m = roles.wide(spark, sf)
+    train = m.where(F.col("bucket") < roles.split())
+    filled = []
+    for k in KEYS:
+        filled += [roles.rnd(ratios.impute(F.col(k), train.agg(F.avg(k)).scalar())).alias(f"{k}_mean"),
+                   roles.rnd(ratios.impute(F.col(k), None, "zero")).alias(f"{k}_zero")]
+    return m.select("host", "bucket", *filled)

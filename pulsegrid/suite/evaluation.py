@@ -92,7 +92,7 @@ def notification_log(spark, sf):
 
 @query("coverage", f"{ROLLED} SELECT 'matrix' AS table_name, count(*) AS n_rows, min(bucket) AS min_time, max(bucket) AS max_time FROM m UNION ALL SELECT 'enriched', count(*), min(bucket), max(bucket) FROM r")
 def coverage(spark, sf):
-    return reports.coverage({"matrix": roles.wide(spark, sf), "enriched": roles.rolled_click(spark, sf)})
+    return reports.coverage({"matrix": roles.wide(spark, sf), "enriched": roles.rolled_all(spark, sf)})
 
 
 @query("distinct_hosts", f"{WIDE} SELECT DISTINCT host FROM m")
@@ -222,7 +222,7 @@ def threshold_flags(spark, sf):
 @query("union_predictions", f"{PRED} SELECT model, count(*) AS n, sum(y_pred)::BIGINT AS n_pred, sum(y_true)::BIGINT AS n_true FROM p GROUP BY model")
 def union_predictions(spark, sf):
     p = roles.predictions(spark, sf)
-    parts = [p.where(F.col("model") == f"z{w}") for w in WIDTHS]
+    parts = [p.where(F.col("model").endswith(f"z{w}")) for w in WIDTHS]
     return warehouse.evolve_union(parts).groupBy("model").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y_pred").alias("n_pred"), F.sum("y_true").alias("n_true")
     )
@@ -433,7 +433,7 @@ def ocsvm_scores(spark, sf):
 
 def click_sequences(spark, sf):
     names = ["click_avg_5m", "click_std_5m", "click_avg_30m"]
-    base = materialize(roles.rolled_click(spark, sf).select("host", "bucket", *names), "features")
+    base = materialize(roles.rolled_all(spark, sf).select("host", "bucket", *names), "features")
     train = base.where(F.col("bucket") < roles.split())
     scaled = features.scale_columns(base, features.scaler_stats(train, names), names)
     return names, materialize(rolling.sequences(scaled, names, length=60, width=WIDTH, block=roles.BLOCK), "sequences")

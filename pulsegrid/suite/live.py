@@ -121,7 +121,8 @@ def stream_rolling(spark, sf):
     return rounded(got, *VALUE_COLS)
 
 
-@query("stream_rolling_state", f"""WITH {S}, m AS (SELECT host, bucket, avg(value) AS click FROM s WHERE key_ = 'click' GROUP BY 1, 2), {roles.R}
+@query("stream_rolling_state", f"""WITH {S}, m AS (SELECT host, bucket, avg(value) AS click FROM s WHERE key_ = 'click' GROUP BY 1, 2),
+ r AS (SELECT host, bucket, {", ".join(f"{roles.sql_stat('click', st, w)} AS click_{st}_{w}m" for w in WIDTHS for st in ("avg", "std", "trend"))} FROM m)
 SELECT host, bucket, """ + ", ".join(f"round({c.replace('value', 'click')} + 3e-8, 6) AS {c}" for c in VALUE_COLS)
        + f" FROM r WHERE bucket + INTERVAL 1 HOUR <= {LAST_CLICK}")
 def stream_rolling_state(spark, sf):
@@ -133,7 +134,7 @@ def stream_rolling_state(spark, sf):
 
 
 @query("stream_alerts", f"""{PRED} SELECT model, host, bucket, round(score + 3e-8, 6) AS score, round(threshold + 3e-8, 6) AS threshold FROM p
-WHERE y_pred = 1 AND bucket + INTERVAL 1 HOUR <= {LAST_CLICK}""")
+WHERE y_pred = 1 AND NOT contains(model, '_') AND bucket + INTERVAL 1 HOUR <= {LAST_CLICK}""")
 def stream_alerts(spark, sf):
     train = materialize(roles.scores(spark, sf), "scores").where(F.col("bucket") < roles.split())
     limits = evaluate.thresholds(train, [0.99])

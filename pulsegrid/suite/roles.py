@@ -9,6 +9,8 @@ second    orders: host = nation of the customer, key = priority, bucket = day
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,22 +80,29 @@ def trends(spark, sf) -> DataFrame:
     )
 
 
-def rolled_click(spark, sf) -> DataFrame:
-    return rolling.rolling_stats(wide(spark, sf).select("host", "bucket", "click"), ["click"], **ROLL)
+def rolled_all(spark, sf) -> DataFrame:
+    return rolling.rolling_stats(wide(spark, sf), KEYS, **ROLL)
+
+
+def zscores(rolled: DataFrame, ids=("host", "bucket")) -> DataFrame:
+    """Scores of every metric; click gives the models z<w>, key k gives k_z<w>."""
+    parts = [evaluate.rolling_zscore(rolled, k, WIDTHS, ids=ids).withColumn(
+        "model", F.col("model") if k == KEYS[0] else F.concat(F.lit(f"{k}_"), F.col("model"))) for k in KEYS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scores(spark, sf) -> DataFrame:
-    return evaluate.rolling_zscore(rolled_click(spark, sf), "click", WIDTHS)
+    return zscores(rolled_all(spark, sf))
 
 
 def labelled_scores(spark, sf) -> DataFrame:
     """All scores with their truth, stored: thresholds read them three times."""
-    rows = intervals.in_any_window(rolled_click(spark, sf), windows(spark, sf), out="y_true", **GRID)
-    return materialize(evaluate.rolling_zscore(rows, "click", WIDTHS, ids=("host", "bucket", "y_true")), "scores")
+    rows = intervals.in_any_window(rolled_all(spark, sf), windows(spark, sf), out="y_true", **GRID)
+    return materialize(zscores(rows, ids=("host", "bucket", "y_true")), "scores")
 
 
 def predictions(spark, sf, prob: float = 0.99) -> DataFrame:
-    """Test-side predictions of z5, z30 and z60, with truth from the windows.
+    """Test-side predictions of all models, with truth from the windows.
     A scan of the stored scores joined with three thresholds: cheap to read again."""
     train, test = evaluate.time_split(labelled_scores(spark, sf), split())
     return evaluate.apply_thresholds(test, evaluate.thresholds(train, [prob]))
@@ -151,11 +160,11 @@ def sql_stat(c: str, stat: str, w: int) -> str:
             f"first_value({c} IGNORE NULLS) OVER {o}) / count({c}) OVER {o} ELSE 0 END")
 
 
-R = "r AS (SELECT host, bucket, click, " + ", ".join(
-    f"{sql_stat('click', st, w)} AS click_{st}_{w}m" for w in WIDTHS for st in ("avg", "std", "trend")) + " FROM m)"
+R = f"r AS (SELECT host, bucket, {', '.join(KEYS)}, " + ", ".join(
+    f"{sql_stat(k, st, w)} AS {k}_{st}_{w}m" for k in KEYS for w in WIDTHS for st in ("avg", "std", "trend")) + " FROM m)"
 SC = "sc AS (" + " UNION ALL ".join(
-    f"SELECT host, bucket, 'z{w}' AS model, CASE WHEN click_std_{w}m > 0 THEN abs(click - click_avg_{w}m) "
-    f"/ click_std_{w}m END AS score FROM r" for w in WIDTHS) + ")"
+    f"SELECT host, bucket, '{'' if k == KEYS[0] else k + '_'}z{w}' AS model, CASE WHEN {k}_std_{w}m > 0 THEN abs({k} - {k}_avg_{w}m) "
+    f"/ {k}_std_{w}m END AS score FROM r" for k in KEYS for w in WIDTHS) + ")"
 
 
 def sql_predictions(prob: float = 0.99, tag: str = "") -> str:
