@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pulsegrid.llm import sums
 from pulsegrid.llm.components import components
@@ -95,7 +96,8 @@ def prefix(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, counts, k: int, percent: int) -> DataFrame:
-    """(shingle, id, size, at): the rarest shingles of each set and their places."""
+    """(shingle, id, size, at, tag): the rarest shingles of each set and their
+    places; equal sets have equal tags."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity = counts.value
         for batch in batches:
@@ -105,18 +107,38 @@ def prefixes(docs: DataFrame, counts, k: int, percent: int) -> DataFrame:
                 found, row = found[order], row[order]
                 size = np.bincount(row, minlength=len(texts))
                 at = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(found))))
+                ends = np.cumsum(size)
+                tag = mix(sums[ends] - sums[ends - size] + size.astype(np.uint64))
                 kept = at < prefix(size, percent)[row]
                 found, row, at = found[kept], row[kept], at[kept]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(found)), part.column(0).take(pa.array(row)), pa.array(size[row], pa.int32()), pa.array(at, pa.int32())],
-                    ["shingle", "id", "size", "at"])
-
-    return docs.mapInArrow(scan, "shingle long, id long, size int, at int")
-
-
-def possible(size: Column, at: Column, other: Column, there: Column, percent: int) -> Column:
-    """Length and positional filter for two sets that share a shingle."""
-    most = F.least(at, there) + 1 + F.least(size - at - 1, other - there - 1)
+                    [pa.array(signed(found)), part.column(0).take(pa.array(row)), pa.array(size[row], pa.int32()), pa.array(at, pa.int32()),
+                     pa.array(signed(tag[row]))], ["shingle", "id", "size", "at", "tag"])
+
+    return docs.mapInArrow(scan, "shingle long, id long, size int, at int, tag long")
+
+
+def met(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of prefix shingles that two different sets have, one row per set, with
+    ``ahead``, how many such shingles the prefix has from this one on.  A shingle
+    that one set has alone is not in common with any other, so two sets whose
+    first common shingle this is have at most ``ahead`` in common in the prefix."""
+    several = rows.groupBy("shingle").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo < hi").select("shingle")
+    both = rows.drop("tag").join(materialize(several, "several"), "shingle").join(firsts, "id")
+    order = Window.partitionBy("id").orderBy("at", "size", "shingle")
+    return both.select("shingle", "id", "size", "at", F.count("*").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)).cast("int").alias("ahead"))
+
+
+def possible(one: str, two: str, percent: int) -> Column:
+    """Length and positional filters, as they hold where a shingle is the first
+    that two sets have in common; every pair of alike sets has such a row.
+    ``one`` and ``two`` are the name patterns of their columns."""
+    size, at, ahead = (F.col(one.format(c)) for c in ("size", "at", "ahead"))
+    other, there, further = (F.col(two.format(c)) for c in ("size", "at", "ahead"))
+    after = lambda n: F.floor((percent * n + 99) / 100).cast("int") - 1  # noqa: E731  shingles behind the prefix
+    most = F.least(1 + F.least(size - at - 1, other - there - 1),
+                   F.least(ahead, further) + F.greatest(after(size), after(other)))
     return ((100 * F.least(size, other) >= percent * F.greatest(size, other))
             & ((100 + percent) * most >= percent * (size + other)))
 
@@ -177,14 +199,14 @@ def starred(lists: DataFrame, percent: int) -> DataFrame:
     if "component" in lists.columns:
         lists = lists.filter("component != hub_component")
     return (lists.filter("id != hub_id")
-            .filter(possible(F.col("size"), F.col("at"), F.col("hub_size"), F.col("hub_at"), percent))
+            .filter(possible("{}", "hub_{}", percent))
             .select(F.col("hub_id").alias("a"), F.col("id").alias("b")).distinct())
 
 
 def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of lists that hold more than one component, with the component."""
-    rows = lists.select("shingle", "id", "size", "at").join(labels, "id", "left")
-    rows = materialize(rows.select("shingle", "id", "size", "at", F.coalesce("component", "id").alias("component")), "labelled")
+    rows = lists.select("shingle", "id", "size", "at", "ahead").join(labels, "id", "left")
+    rows = materialize(rows.select("shingle", "id", "size", "at", "ahead", F.coalesce("component", "id").alias("component")), "labelled")
     several = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     several = materialize(several.filter("lo < hi").select("shingle"), "several")
     return rows.join(several, "shingle")
@@ -195,16 +217,16 @@ def crossed(rows: DataFrame, percent: int) -> DataFrame:
     classes one similarity wide, so only comparable sizes meet."""
     band = F.floor(F.log(F.col("size")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
     own = rows.withColumn("band", band)
-    left = own.select("shingle", "band", *[F.col(c).alias(f"{c}_a") for c in ("id", "size", "at", "component")])
+    left = own.select("shingle", "band", *[F.col(c).alias(f"{c}_a") for c in ("id", "size", "at", "ahead", "component")])
     right = own.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1, F.col("band") - 1)))
     both = left.join(right, ["shingle", "band"])
     return (both.filter((F.col("id_a") < F.col("id")) & (F.col("component_a") != F.col("component")))
-            .filter(possible(F.col("size"), F.col("at"), F.col("size_a"), F.col("at_a"), percent))
+            .filter(possible("{}", "{}_a", percent))
             .select(F.col("id_a").alias("a"), F.col("id").alias("b")).distinct())
 
 
 def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85,
-           stars: int = 2) -> DataFrame:
+           stars: int = 1) -> DataFrame:
     """Per row: ``id_col``, ``n_shingles`` and ``component_id``, the least id that
     links reach; two rows link when their Jaccard similarity is at least
     ``percent`` hundredths.
@@ -226,8 +248,9 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     links = materialize(copies.select(F.col("first").alias("a"), F.col("id").alias("b")), "copies")
 
     counts = spark.sparkContext.broadcast(occurrences(docs, k))
-    found = with_hub(prefixes(docs, counts, k, percent))
-    lists = materialize(found.join(firsts.select(F.col("first").alias("id")).distinct(), "id"), "lists")
+    nodes = firsts.select(F.col("first").alias("id")).distinct()
+    rows_met = materialize(met(prefixes(docs, counts, k, percent), nodes), "met")
+    lists = materialize(with_hub(rows_met), "lists")
     texts = materialize(docs.join(lists.select("id").distinct(), "id"), "texts")
 
     heads = lists.select("shingle", F.col("hub_id").alias("id")).distinct()
