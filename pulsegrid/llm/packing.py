@@ -44,7 +44,7 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.tokenizer()
         for batch in batches:
-            for part, texts in chunks(batch, text_col, 1 << 22):
+            for part, texts in chunks(batch, text_col):
                 ids, at = own.encode(texts)
                 ids = np.insert(ids, at[1:], end_id).astype("<u4")
                 at = at + np.arange(len(at))

@@ -10,14 +10,13 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pulsegrid.llm.bpe import Automaton, Encoder, Pieces, gather, read_vocabulary, specials
-from pulsegrid.llm.words import WHITE, chunks, flat, lists
+from pulsegrid.llm.words import WHITE, chunks, flat, held, lists
 
 # White space beyond ASCII, and the two ways in which the public
 # vocabularies split text before merging.
@@ -102,11 +101,6 @@ class Tokenizer:
         return [raw[a:b].decode("utf-8", "replace").encode() for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
-@lru_cache(maxsize=4)
-def _loaded(key: str, holder: Shipped) -> Tokenizer:
-    return Tokenizer(holder.vocabulary.value)
-
-
 class Shipped:
     """A broadcast vocabulary; a Python worker builds its tokenizer once."""
 
@@ -114,14 +108,8 @@ class Shipped:
         self.path = path
         self.vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
-    def __hash__(self) -> int:
-        return hash(self.path)
-
-    def __eq__(self, other: object) -> bool:
-        return isinstance(other, Shipped) and other.path == self.path
-
     def tokenizer(self) -> Tokenizer:
-        return _loaded(self.path, self)
+        return held(("tokenizer", self.path), lambda: Tokenizer(self.vocabulary.value))
 
 
 def _fields(df: DataFrame, without: str) -> tuple[DataFrame, str]:
@@ -141,7 +129,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.tokenizer()
         for batch in batches:
-            for part, texts in chunks(batch, text_col, 1 << 22):
+            for part, texts in chunks(batch, text_col):
                 ids, at = own.encode(texts)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, lists(ids, np.diff(at), pa.int32())], [*part.schema.names, ids_col])
@@ -178,7 +166,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.tokenizer()
         for batch in batches:
-            for part, texts in chunks(batch, text_col, 1 << 22):
+            for part, texts in chunks(batch, text_col):
                 ids, at = own.encode(texts)
                 raw = ids.astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays([

@@ -17,14 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.words import Words, chunks, split
+from pulsegrid.llm.words import Words, chunks, held, split
 
 ORDER, DECAY = 3, 0.6
 LANDMARKS, CLEAN_LANDMARKS, SAMPLE = 128, 16, 6000
@@ -138,7 +137,7 @@ class Matcher:
     """Matches of strings with landmarks; strings compared before are remembered,
     up to ``KEEP`` of them."""
 
-    KEEP = 200_000
+    KEEP = 60_000
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks = landmarks
@@ -194,9 +193,8 @@ class Matcher:
         return np.array(hits, np.int64), out
 
 
-@lru_cache(maxsize=2)
 def matcher(landmarks: tuple[bytes, ...]) -> Matcher:
-    return Matcher(list(landmarks))
+    return held(("matcher", landmarks), lambda: Matcher(list(landmarks)))
 
 
 def features(texts: pa.Array, landmarks: list[bytes]) -> np.ndarray:

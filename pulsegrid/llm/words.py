@@ -7,7 +7,7 @@ prefix sums, so that no Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -138,6 +138,21 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK) -> Iterator[tup
         at = to
 
 
+    pa.default_memory_pool().release_unused()
+
+
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """What ``make`` gives, kept for the later tasks of this Python worker.  A
+    worker keeps one such thing, since stages of many operators share it."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
