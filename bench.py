@@ -24,6 +24,7 @@ rolling_avg rolling_std rolling_trend asof_last_alarm interval_label interval_fi
 enriched_features incremental_features coverage_gaps sequence_windows feature_variance feature_corr scaler_stats
 event_quantiles quantile_threshold zscore_detector threshold_flags prf_metrics window_comparison detection_latency
 alert_summary comparison_summary metric_reconcile summary_report alert_rate_5m iforest_scores stream_minute_avg
+ocsvm_scores seqrecon_scores retrain_report stream_rolling stream_alerts
 """.split()
 
 
