@@ -5,7 +5,10 @@ where gaps cost a factor per character, so an insult with inserted or missing
 characters is still close to itself.  Nyström landmarks, words that set labelled
 toxic sentences apart and common clean ones, turn the kernel into a short vector:
 a sentence has, for each landmark, the best match among its words, and a text the
-best among its sentences.  The vectors are whitened by the landmarks' own kernel
+best among its sentences.  Words are also read in the parts between signs and
+without signs; strings of more than twice a landmark's length are compared with it
+window by window.  Values are exact for every pair: few triples of characters occur
+in landmarks, and a string is compared with all landmarks through these at once.  The vectors are whitened by the landmarks' own kernel
 matrix, a linear machine with squared hinge loss separates them, and a logistic
 curve turns margins into scores.
 
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +31,7 @@ from pulsegrid.llm.words import Words, chunks, held, split
 
 ORDER, DECAY = 3, 0.6
 LANDMARKS, CLEAN_LANDMARKS, SAMPLE = 128, 16, 6000
-LONGEST, STRIDE = 32, 16
-LEAST = 0.5
+LONGEST = 32
 
 
 def padded(words: list[bytes], fill: int) -> np.ndarray:
@@ -70,14 +73,10 @@ def kernel(left: list[bytes], right: list[bytes], own_left: np.ndarray | None =
     return np.where(own > 0, raw_kernel(padded(left, -1), padded(right, -2)) / np.where(own > 0, own, 1), 0)
 
 
-def letters(words: list[bytes]) -> np.ndarray:
-    """Set of bytes of each word in 64 bits."""
-    sizes = np.fromiter((max(1, len(w)) for w in words), np.int64, len(words))
-    data = np.frombuffer(b"".join(w or b"\0" for w in words), np.uint8)
-    return np.bitwise_or.reduceat(np.uint64(1) << (data & 63).astype(np.uint64), np.cumsum(sizes) - sizes)
+SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 
 
-SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
+APART = bytes(32 if b in SIGNS else b for b in range(256))
 
 
 def bare(word: bytes) -> bytes:
@@ -86,8 +85,8 @@ def bare(word: bytes) -> bytes:
 
 def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct strings to compare, and (string, text) of each occurrence.  Words
-    with signs inside and runs of single characters are also read as one word,
-    very long words in pieces."""
+    with signs inside are also read part by part and without the signs, runs of
+    single characters as one word."""
     coded = w.array().dictionary_encode()
     words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     row = w.row()
@@ -105,12 +104,11 @@ def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     for i, x in enumerate(words):
         x = bare(x)
         inner = x.translate(None, SIGNS)
-        if ORDER <= len(x) <= LONGEST:
+        if len(x) >= ORDER:
             own[i] = put(x)
-        elif len(x) > LONGEST:
-            long[i] = [put(x[a:a + LONGEST]) for a in range(0, len(x) - STRIDE, STRIDE)]
-        if len(inner) < len(x) and ORDER <= len(inner) <= LONGEST:
-            long.setdefault(i, []).append(put(inner))
+        if len(inner) < len(x):
+            parts = {*x.translate(APART).split(), inner}
+            long[i] = [put(y) for y in sorted(parts) if len(y) >= ORDER]
     which, where = own[index], row
     if long:
         at = np.flatnonzero(np.isin(index, list(long)))
@@ -119,13 +117,13 @@ def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         where = np.concatenate((where, [r for _, r in more]))
     single = (w.end - w.start == 1).astype(np.int8)
     edge = np.flatnonzero(np.diff(np.concatenate(([0], single, [0]))))
-    spaced = [(a, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a > ORDER]
+    spaced = [(a, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= ORDER]
     extra = []
     for a, b in spaced:
         for r in np.unique(row[a:b]).tolist():
             x, y = max(a, int(w.first[r])), min(b, int(w.first[r + 1]))
             run = w.data[w.start[x:y]].tobytes()
-            extra += [(put(run[i:i + LONGEST]), r) for i in range(0, max(1, len(run) - STRIDE), STRIDE) if len(run) > ORDER]
+            extra += [(put(run), r)] if len(run) >= ORDER else []
     if extra:
         which = np.concatenate((which, [p for p, _ in extra]))
         where = np.concatenate((where, [r for _, r in extra]))
@@ -133,6 +131,88 @@ def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return strings, which[kept], where[kept]
 
 
+def named(strings: list[bytes], which: np.ndarray, where: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Candidates that may be landmarks.  Strings too long for one stand for their
+    pieces of two to four characters, where these have more than one byte each."""
+    place: dict[bytes, int] = {}
+    own: list[list[int]] = []
+    for x in strings:
+        pieces = {x} if len(x) <= LONGEST else set()
+        if len(x) > LONGEST and max(x) > 127:
+            y = x.decode("utf-8", "replace")
+            pieces = {y[i:i + n].encode() for n in (2, 3, 4) for i in range(len(y) - n + 1) if min(y[i:i + n]) > "\x7f"}
+        own.append([place.setdefault(p, len(place)) for p in sorted(pieces)])
+    sizes = np.array([len(x) for x in own], np.int64)[which]
+    return list(place), np.array([p for i in which.tolist() for p in own[i]], np.int64), np.repeat(where, sizes)
+
+
+def triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of all subsequences of three of ``n`` characters, and their weights."""
+    i, j, k = np.array(list(combinations(range(n), ORDER)), np.int64).reshape(-1, ORDER).T
+    return i, j, k, DECAY ** (k - i + 1.0)
+
+
+def own_kernels(s: np.ndarray, places: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Kernel with itself of each row of strings of one length."""
+    i, j, k, weight = places
+    out = np.full(len(s), weight @ weight)
+    ordered = np.sort(s, axis=1)
+    again = np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(1))
+    if len(again):  # characters that repeat may give one subsequence several times
+        x = s[again].astype(np.int64)
+        code = ((x[:, i] << 8 | x[:, j]) << 8 | x[:, k]) + (np.arange(len(x))[:, None] << 24)
+        order = np.argsort(code, axis=None)
+        c = code.reshape(-1)[order]
+        first = np.flatnonzero(np.concatenate(([True], np.diff(c) != 0)))
+        total = np.add.reduceat(np.tile(weight, len(x))[order], first)
+        out[again] = np.bincount(c[first] >> 24, total * total, minlength=len(x))
+    return out
+
+
+class Triples:
+    """Landmarks by the subsequences of three characters that they have."""
+
+    def __init__(self, landmarks: list[bytes]) -> None:
+        alphabet = sorted(set(b"".join(landmarks)))
+        self.n, self.letter = len(alphabet) + 1, np.zeros(256, np.int64)
+        self.letter[alphabet] = np.arange(1, self.n)
+        self.table = np.zeros(self.n ** 3, np.int64)  # 0: in no landmark
+        values: list[dict[int, float]] = []
+        for x in landmarks:
+            i, j, k, weight = triples(len(x))
+            c, sums = self.codes(np.frombuffer(x, np.uint8)[None], i, j, k)[0], {}
+            for code, w in zip(c.tolist(), weight.tolist()):
+                sums[code] = sums.get(code, 0.0) + w
+            values.append(sums)
+        codes = sorted(set().union(*values))
+        self.table[codes] = np.arange(1, len(codes) + 1)
+        self.values = np.zeros((len(codes) + 1, len(landmarks)), np.float32)
+        for at, sums in enumerate(values):
+            own = sum(v * v for v in sums.values()) ** 0.5
+            for code, v in sums.items():
+                self.values[self.table[code], at] = v / own
+
+    def codes(self, s: np.ndarray, i: np.ndarray, j: np.ndarray, k: np.ndarray) -> np.ndarray:
+        x = self.letter[s]
+        return (x[:, i] * self.n + x[:, j]) * self.n + x[:, k]
+
+    def of(self, s: np.ndarray) -> np.ndarray:
+        """Normalised kernels of the rows of strings of one length with all landmarks."""
+        out = np.zeros((len(s), self.values.shape[1]), np.float32)
+        places = triples(s.shape[1])
+        i, j, k, weight = places
+        size, piece = len(self.values), max(1, min((1 << 19) // len(i), (1 << 21) // len(self.values)))
+        for a in range(0, len(s), piece):
+            x = s[a:a + piece]
+            f = self.table[self.codes(x, i, j, k)]
+            row, t = np.nonzero(f)
+            rows, at = np.unique(row, return_inverse=True)
+            if len(rows):
+                found = np.bincount(at * size + f[row, t], weight[t], minlength=len(rows) * size).reshape(len(rows), size)
+                out[a + rows] = found.astype(np.float32) @ self.values / np.sqrt(own_kernels(x[rows], places))[:, None]
+        return out
+
+
 class Matcher:
     """Matches of strings with landmarks; strings compared before are remembered,
     up to ``KEEP`` of them."""
@@ -140,57 +220,60 @@ class Matcher:
     KEEP = 60_000
 
     def __init__(self, landmarks: list[bytes]) -> None:
-        self.landmarks = landmarks
-        self.masks, self.own = letters(landmarks), self_kernel(landmarks)
-        self.known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-
-    def near(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(string, landmark) of pairs worth comparing: lengths within a factor
-        of two, three quarters of the landmark's letters in common, and two
-        thirds of the string's."""
-        own = letters(strings)
-        sizes, kinds = np.fromiter(map(len, strings), np.int64, len(strings)), np.bitwise_count(own).astype(np.int64)
-        s, t = [], []
-        for j, mask in enumerate(self.masks):
-            n, shared = len(self.landmarks[j]), np.bitwise_count(own & mask)
-            hit = np.flatnonzero((4 * shared >= 3 * int(mask).bit_count()) & (3 * shared >= 2 * kinds) & (sizes <= 2 * n) & (2 * sizes >= n))
-            s.append(hit)
-            t.append(np.full(len(hit), j))
-        return np.concatenate(s), np.concatenate(t)
-
-    def _compare(self, strings: list[bytes], s: np.ndarray, t: np.ndarray) -> None:
-        order = np.argsort(np.fromiter(map(len, strings), np.int64, len(strings))[s], kind="stable")
-        s, t = s[order], t[order]
-        own = np.zeros(len(strings))
-        lone = s[np.sort(np.unique(s, return_index=True)[1])]
-        for a in range(0, len(lone), 8192):
-            own[lone[a:a + 8192]] = self_kernel([strings[i] for i in lone[a:a + 8192].tolist()])
-        value = np.zeros(len(s))
-        for a in range(0, len(s), 8192):
-            i, j = s[a:a + 8192], t[a:a + 8192]
-            value[a:a + 8192] = kernel([strings[x] for x in i.tolist()], [self.landmarks[x] for x in j.tolist()], own[i], self.own[j])
-        order = np.argsort(s, kind="stable")
-        s, t, value = s[order], t[order], value[order]
-        firsts, ends = np.flatnonzero(np.diff(s, prepend=-1)), np.flatnonzero(np.diff(s, append=len(strings))) + 1
-        for a, b in zip(firsts.tolist(), ends.tolist()):
-            near = value[a:b] >= LEAST
-            self.known[strings[s[a]]] = t[a:b][near], value[a:b][near]
-
-    def table(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Strings that match some landmark, and their kernels with all."""
-        if not strings:
-            return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
-        s, t = self.near(strings)
+        self.landmarks, self.all = landmarks, Triples(landmarks)
+        sizes = np.array([len(x) for x in landmarks])
+        self.by_size = [(n, np.flatnonzero(sizes == n), Triples([x for x in landmarks if len(x) == n])) for n in sorted(set(sizes.tolist()))]
+        self.known: dict[bytes, np.ndarray] = {}
+
+    def _windows(self, out: np.ndarray, where: np.ndarray, data: np.ndarray, n: int) -> None:
+        """Best match of windows of strings, the rows of ``data``: of a landmark's
+        length at every place, and of twice that, which holds one with characters
+        put in, at every half."""
+        for size, at, some in self.by_size:
+            if 2 * size >= n:
+                break
+            for width, stride in ((size, 1), (2 * size, max(1, size // 2))):
+                starts = np.unique(np.append(np.arange(0, n - width + 1, stride), n - width))
+                # A slice of windows at a time, of many strings or of a long one.
+                each = max(1, (1 << 16) // len(data))
+                for a in range(0, len(starts), each):
+                    own = np.lib.stride_tricks.sliding_window_view(data, width, axis=1)[:, starts[a:a + each]]
+                    flat = np.ascontiguousarray(own).reshape(-1, width)
+                    kinds, back = np.unique(flat.view(f"V{width}").reshape(-1), return_inverse=True)
+                    value = some.of(kinds.view(np.uint8).reshape(-1, width))
+                    for k, column in enumerate(at.tolist()):
+                        best = value[:, k][back].reshape(len(data), -1).max(1)
+                        out[where, column] = np.maximum(out[where, column], best)
+
+    def compared(self, strings: list[bytes]) -> np.ndarray:
+        """Kernels of strings of at least three characters with all landmarks."""
+        out = np.zeros((len(strings), len(self.landmarks)), np.float32)
+        sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        for n in np.unique(sizes).tolist():
+            every = np.flatnonzero(sizes == n)
+            for a in range(0, len(every), 4096):
+                where = every[a:a + 4096]
+                data = np.frombuffer(b"".join(strings[i] for i in where.tolist()), np.uint8).reshape(-1, n)
+                whole = self.all.of(data) if n <= LONGEST else None
+                if whole is not None:
+                    out[where] = whole
+                self._windows(out, where, data, n)
+        return out
+
+    def table(self, strings: list[bytes]) -> np.ndarray:
+        """Kernels of all strings with all landmarks."""
         if len(self.known) > self.KEEP:
             self.known.clear()
-        new = np.array([x not in self.known for x in strings], bool)[s]
-        self._compare(strings, s[new], t[new])
-        hits = [i for i in np.unique(s).tolist() if len(self.known[strings[i]][0])]
-        out = np.zeros((len(hits), len(self.landmarks)), np.float32)
-        for k, i in enumerate(hits):
-            at, value = self.known[strings[i]]
-            out[k, at] = value
-        return np.array(hits, np.int64), out
+        new = [x for x in strings if x not in self.known]
+        value = self.compared(new)
+        place = {x: i for i, x in enumerate(new)}
+        out = np.zeros((len(strings), len(self.landmarks)), np.float32)
+        for i, x in enumerate(strings):
+            out[i] = value[place[x]] if x in place else self.known[x]
+        for x, v in zip(new[:max(0, self.KEEP + 1 - len(self.known))], value):
+            if len(x) <= LONGEST:
+                self.known[x] = v.copy()
+        return out
 
 
 def matcher(landmarks: tuple[bytes, ...]) -> Matcher:
@@ -201,14 +284,15 @@ def features(texts: pa.Array, landmarks: list[bytes]) -> np.ndarray:
     """Best match of every text of a column without nulls with each landmark."""
     out = np.zeros((len(texts), len(landmarks)), np.float32)
     strings, which, where = candidates(split(texts, lowered=True))
-    hits, table = matcher(tuple(landmarks)).table(strings)
-    hit = np.full(len(strings), -1)
-    hit[hits] = np.arange(len(hits))
-    kept = hit[which] >= 0
-    if kept.any():
-        pairs = np.unique(np.stack((where[kept], hit[which[kept]]), 1), axis=0)
-        first = np.flatnonzero(np.concatenate(([True], np.diff(pairs[:, 0]) > 0)))
-        out[pairs[first, 0]] = np.maximum.reduceat(table[pairs[:, 1]], first, axis=0)
+    if not strings:
+        return out
+    table = matcher(tuple(landmarks)).table(strings)
+    pairs = np.unique(np.stack((where, which), 1), axis=0)
+    for a in range(0, len(pairs), 1 << 15):
+        p = pairs[a:a + (1 << 15)]
+        first = np.flatnonzero(np.concatenate(([True], np.diff(p[:, 0]) > 0)))
+        own = p[first, 0]
+        out[own] = np.maximum(out[own], np.maximum.reduceat(table[p[:, 1]], first, axis=0))
     return out
 
 
@@ -252,11 +336,11 @@ def chosen(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> list[byt
         x = bare(w.encode())
         if value < 6 or len(picked) == LANDMARKS:
             break
-        if len(x) > ORDER and len(x) <= LONGEST and (not picked or kernel([x] * len(picked), picked).max() < 0.95):
+        if ORDER <= len(x) <= LONGEST and (not picked or kernel([x] * len(picked), picked).max() < 0.95):
             picked.append(x)
     if picked:
         common = sorted(((b, w) for w, a, b in rows if a * clean <= b * toxic), key=lambda x: (-x[0], x[1]))
-        picked += [x for x in dict.fromkeys(bare(w.encode()) for _, w in common) if len(x) > ORDER][:CLEAN_LANDMARKS]
+        picked += [x for x in dict.fromkeys(bare(w.encode()) for _, w in common) if ORDER <= len(x) <= LONGEST][:CLEAN_LANDMARKS]
     return picked
 
 
@@ -315,7 +399,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for part, texts in chunks(batch, "text"):
                 toxic = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                strings, which, where = candidates(split(texts, lowered=True))
+                strings, which, where = named(*candidates(split(texts, lowered=True)))
                 pairs = np.unique(np.stack((which, where), 1), axis=0)
                 bad = np.bincount(pairs[toxic[pairs[:, 1]], 0], minlength=len(strings))
                 fine = np.bincount(pairs[~toxic[pairs[:, 1]], 0], minlength=len(strings))

@@ -59,3 +59,22 @@ def test_held_out_documents(spark):
     toxic = [r["predicted"] for r in rows if r["toxic"]]
     clean = [r["predicted"] for r in rows if not r["toxic"]]
     assert sum(toxic) > 0.8 * len(toxic) and sum(clean) < 0.01 * len(clean)
+
+
+def test_insults_inside_long_tokens_and_between_signs():
+    marks = [b"idiot", b"moron", b"ass", "大馬鹿".encode()]
+    x = features(pa.array(["idiot,please", "you-utter-moron", "x" * 40 + "idiot" + "y" * 40, "please/youidiotandallthat", "an ass!", "a s s",
+                           "彼は大馬鹿だと私は思う彼は大馬鹿だと私は思う"]), marks)
+    assert (x[[0, 1, 2, 3, 4, 5, 6], [0, 1, 0, 0, 2, 2, 3]] > 0.999).all()
+    assert features(pa.array(["whatanidxioxtyoureallyare"]), [b"idiot"])[0, 0] > 0.2
+
+
+def test_every_value_is_the_kernel():
+    words = ["idixoxt", "ixdxixoxt", "mroon", "banana", "todi", "anan", "aaaaaa", "torpedo"]
+    marks = [b"idiot", b"moron", b"banana", b"aaa", b"torpedoes"]
+    x = features(pa.array(words), marks)
+    for i, w in enumerate(words):
+        for j, m in enumerate(marks):
+            if len(w) <= 2 * len(m):
+                assert abs(x[i, j] - plain(w.encode(), m)) < 1e-5
+    assert 0 < x[1, 0] < 0.5
