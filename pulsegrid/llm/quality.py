@@ -1,9 +1,10 @@
 """Quality by weak supervision.
 
-Rules read counts of a text and vote good, bad or abstain.  How far each rule
-can be trusted is estimated without labels, by expectation-maximisation over
-the vote patterns of all documents; a document is kept when the posterior
-probability of being good is at least one half.
+Rules read one side of a text each and vote good, bad or abstain, so that good and
+bad votes meet in one document.  How often each rule is right about good and about
+bad documents, and how common good ones are, is estimated without labels, by
+expectation-maximisation over the vote patterns of all documents; a document is
+kept when the posterior probability of being good is at least one half.
 
 Everything on the rows is DataFrame functions.  The patterns number at most
 three to the power of the rules, whatever the input, so the estimation itself
@@ -74,42 +75,43 @@ def measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def votes() -> list[Column]:
-    """One vote per rule: 2 good, 0 bad, 1 abstain.  A rule speaks up for one side
-    only and abstains elsewhere.  Shares are compared by multiplication, so that
-    empty texts need no case of their own."""
+    """One vote per rule: 2 good, 0 bad, 1 abstain.  Each rule looks at one thing
+    and abstains between its two bounds.  Shares are compared by multiplication, so
+    that empty texts need no case of their own."""
     c = F.col
-    prose = ((c("n_words") >= 50) & (c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 11)
-             & (c("n_symbols") * 50 <= c("n_words")) & (c("n_marks") * 20 <= c("n_words"))
-             & (c("n_upper") * 5 <= c("n_words")) & (c("n_repeat_words") * 5 <= c("n_words")))
-    bad = [
-        c("n_words") < 50,
-        c("n_repeat_words") * 10 > c("n_words") * 3,
-        c("n_symbols") * 20 > c("word_chars"),
-        c("n_dup_lines") * 2 > c("n_lines"),
-        c("n_upper") * 3 > c("n_words"),
-        c("n_marks") * 10 > c("n_words"),
-        (c("word_chars") > c("n_words") * 14) | (c("word_chars") < c("n_words") * 2),
+    rules = [  # good, bad
+        (c("n_words") >= 50, c("n_words") < 50),
+        (c("n_repeat_words") * 5 <= c("n_words"), c("n_repeat_words") * 10 > c("n_words") * 3),
+        (c("n_symbols") * 50 <= c("n_words"), c("n_symbols") * 20 > c("word_chars")),
+        (c("n_dup_lines") * 10 <= c("n_lines"), c("n_dup_lines") * 2 > c("n_lines")),
+        (c("n_upper") * 5 <= c("n_words"), c("n_upper") * 3 > c("n_words")),
+        (c("n_marks") * 20 <= c("n_words"), c("n_marks") * 10 > c("n_words")),
+        ((c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 11),
+         (c("word_chars") > c("n_words") * 14) | (c("word_chars") < c("n_words") * 2)),
     ]
-    return [F.when(prose, 2).otherwise(1), *[F.when(x, 0).otherwise(1) for x in bad]]
+    return [F.when(bad, 0).when(good, 2).otherwise(1) for good, bad in rules]
 
 
 def posteriors(patterns: dict[int, int], rules: int, rounds: int = 50) -> dict[int, float]:
     """Probability of being good for each observed pattern of votes.
 
-    A rule has one accuracy, the share of its votes that are right, smoothed as if
-    it had been right eight times in ten before; abstaining says nothing.  Rules
-    that often contradict the others lose weight, and the classes are alike
-    before any vote, so a text without votes stands at one half."""
+    A rule has two accuracies, the shares of its votes on good and on bad documents
+    that are right.  As it looks at one thing only, it starts as one that seldom
+    blames a good document and misses most bad ones; abstaining says nothing.  The share of good documents is estimated with them and
+    starts at one half.  Rules that often contradict the others lose weight."""
     digits = {p: [p // 3 ** j % 3 for j in range(rules)] for p in sorted(patterns)}
-    accuracy = [0.8] * rules
-    good: dict[int, float] = {}
+    before = {2: 0.95, 0: 0.3}  # by what the document is
+    right = {side: [x] * rules for side, x in before.items()}
+    share, good = 0.5, {}
     for _ in range(rounds):
-        weight = [math.log(a / (1 - a)) for a in accuracy]
-        good = {p: 1 / (1 + math.exp(-sum(w * (v - 1) for w, v in zip(weight, d)))) for p, d in digits.items()}
+        said = [{2: math.log(g / (1 - b)), 0: math.log((1 - g) / b), 1: 0.0} for g, b in zip(right[2], right[0])]
+        start = math.log(share / (1 - share))
+        good = {p: 1 / (1 + math.exp(-max(-500.0, min(500.0, start + sum(w[v] for w, v in zip(said, d)))))) for p, d in digits.items()}
+        share = (1 + sum(n * good[p] for p, n in patterns.items())) / (2 + sum(patterns.values()))
         for j in range(rules):
-            right = sum(n * (good[p] if digits[p][j] == 2 else 1 - good[p]) for p, n in patterns.items() if digits[p][j] != 1)
-            cast = sum(n for p, n in patterns.items() if digits[p][j] != 1)
-            accuracy[j] = min(0.999, max(0.5, (8 + right) / (10 + cast)))
+            for side in (2, 0):
+                cast = {v: sum(n * (good[p] if side == 2 else 1 - good[p]) for p, n in patterns.items() if digits[p][j] == v) for v in (0, 2)}
+                right[side][j] = min(0.9999, max(0.0001, (10 * before[side] + cast[side]) / (10 + cast[0] + cast[2])))
     return good
 
 
