@@ -51,13 +51,3 @@ def test_junk_goes_and_prose_stays(spark):
     assert sum(kept) > 0.98 * len(kept)
     junk = [r["kept"] for r in rows if r["quality"] == 0]
     assert sum(junk) < 0.35 * len(junk)
-
-
-def test_one_bad_vote_can_be_outvoted(table):
-    prose = " ".join(f"some{i} word{i} follows" for i in range(40))
-    shouting = " ".join(w.upper() if i % 2 else w for i, w in enumerate(prose.split()))
-    junk = "BUY!!! #$ %& " * 30
-    rows = [(i, (prose, prose, shouting, junk)[i % 4]) for i in range(200)]
-    got = {r["doc_id"] % 4: r for r in quality(table(rows, "doc_id long, text string")).collect()}
-    assert got[2]["n_upper"] * 3 > got[2]["n_words"]
-    assert got[0]["p_good"] > 0.9 and got[2]["p_good"] > 0.5 and got[2]["kept"] and got[3]["p_good"] < 0.1
