@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import linededup, merkle, mixing, ngramjoin, packing, pii, quality, substring, tokens, toxicity
+from pulsegrid.llm import conversations, linededup, merkle, mixing, ngramjoin, packing, pii, quality, substring, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,3 +146,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(fold() != 0)
     out = toxicity.scored(docs, toxicity.fit(docs.filter(fold() != 0), labels))
     return out.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+@query()
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired text of every damaged conversation."""
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    damaged = conversations.damaged(given, F.concat(named("conv_id"), F.lit(":"), named("turn")))
+    found = conversations.summaries(conversations.repaired(damaged)).withColumnRenamed("conv_id", "id")
+    ids = given.select("conv_id").distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", *conversations.FAULTS, "illegal", "cost")]
+    return ids.join(found, ids["conv_id"].eqNullSafe(found["id"]), "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
