@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import conversations, linededup, merkle, mixing, ngramjoin, packing, pii, quality, substring, tokens, toxicity
+from pulsegrid.llm import conversations, linededup, merkle, mixing, ngramjoin, packing, pii, quality, spelling, substring, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,3 +160,9 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(found, ids["conv_id"].eqNullSafe(found["id"]), "left").select(
         "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query()
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours, form and root of every word of the documents."""
+    return spelling.grouped(spelling.vocabulary(documents(spark, sf_dir))).select("word", "form", "root", "n", "n_near", "form_n")
