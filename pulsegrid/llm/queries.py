@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import conversations, linededup, merkle, mixing, ngramjoin, packing, pii, quality, spelling, substring, tokens, toxicity
+from pulsegrid.llm import conversations, langid, linededup, merkle, mixing, ngramjoin, packing, pii, quality, spelling, substring, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -166,3 +166,13 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbours, form and root of every word of the documents."""
     return spelling.grouped(spelling.vocabulary(documents(spark, sf_dir))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query()
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents of two of three folds."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    other = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3
+    model = langid.fit(docs.filter(other != 1))
+    return langid.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", (other == 1).alias("held_out"), "lang_pred", "score")
