@@ -22,6 +22,12 @@ DIGITS = frozenset(string.digits)
 LABEL = frozenset(string.ascii_letters + string.digits + "-")
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 DIALLED = frozenset(" ().-" + string.digits)
+CODE = LABEL
+AFTER_CUE = frozenset(" :#.=\t")
+IN_URL = LOCAL | frozenset(":~!$&'()*,;=")
+HOST = LABEL | {".", ":"}
+#: Longest IBAN: 34 characters and a space after every fourth.
+LONGEST_IBAN = 42
 CUES = ("iban", "ssn", "passport", "account", "acct")
 Span = tuple[int, int]
 
@@ -137,44 +143,58 @@ def phones(text: str, plus: list[int]) -> Iterator[Span]:
 
 def urls(text: str, colons: list[int]) -> Iterator[Span]:
     """Addresses that carry a user or a secret: scheme://user[:secret]@host."""
-    inside = LOCAL | frozenset(":~!$&'()*,;=")
     done = 0
     for at in colons:
         start = at
         while start > done and text[start - 1] in string.ascii_letters:
             start -= 1
-        sign = run(text, at + 3, inside)
+        sign = run(text, at + 3, IN_URL)
         if start == at or sign == at + 3 or sign >= len(text) or text[sign] != "@":
             continue
-        end = run(text, sign + 1, LABEL | {".", ":"})
+        end = run(text, sign + 1, HOST)
         if end > sign + 1:
             yield start, end
             done = end
 
 
-def iban(code: str) -> bool:
-    code = code.replace(" ", "").upper()
-    if not (15 <= len(code) <= 34 and code.isascii() and code.isalnum() and code[:2].isalpha() and code[2:4].isdigit()):
-        return False
-    return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+def iban(text: str, at: int, beyond: int) -> int:
+    """End, after ``beyond``, of the longest IBAN with a right check sum at ``at``,
+    with or without spaces; 0 when there is none.  One walk of bounded length."""
+    head, rest, best, n = [], 0, 0, 0
+    for end in range(at, min(len(text), at + LONGEST_IBAN)):
+        if text[end] == " ":
+            continue
+        if text[end] not in CODE or text[end] == "-" or n == 34:
+            break
+        digit, n = int(text[end], 36), n + 1
+        if n <= 4:
+            if (digit > 9) != (n <= 2):
+                return 0
+            head.append(digit)
+            continue
+        rest = (rest * (100 if digit > 9 else 10) + digit) % 97
+        if n >= 15 and end >= beyond:
+            total = rest
+            for d in head:
+                total = (total * (100 if d > 9 else 10) + d) % 97
+            best = end + 1 if total == 1 else best
+    return best
 
 
 def accounts(text: str, cues: list[int]) -> Iterator[Span]:
     """Numbers that follow a cue: an IBAN with a right check sum, a social
     security number, or at least six letters and digits with four digits."""
-    body = frozenset(string.ascii_letters + string.digits + "-")
     done = 0
     for cue in cues:  # the last character of the cue
         at = cue + 1
-        if at < done or at >= len(text) or text[at] in body:
+        if at < done or at >= len(text) or text[at] in CODE:
             continue
-        at = run(text, at, frozenset(" :#.=\t"))
+        at = run(text, at, AFTER_CUE)
         for word in ("number", "no"):
-            if text[at:at + len(word)].lower() == word and at + len(word) < len(text) and text[at + len(word)] not in body:
-                at = run(text, at + len(word), frozenset(" :#.=\t"))
-        end = run(text, at, body)
-        wide = run(text, at, body | {" "})
-        best = next((w for w in range(min(wide, at + 42), end, -1) if text[w - 1] != " " and iban(text[at:w])), 0)
+            if text[at:at + len(word)].lower() == word and at + len(word) < len(text) and text[at + len(word)] not in CODE:
+                at = run(text, at + len(word), AFTER_CUE)
+        end = run(text, at, CODE)
+        best = iban(text, at, end)
         code = text[at:end].strip("-")
         if best:
             yield at, best
