@@ -6,6 +6,8 @@ The flattened window of a host is projected on its principal components
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, PCAModel
@@ -16,48 +18,65 @@ from pyspark.sql import functions as F
 
 LATENT = 16
 
+SCHEMA = "position int, mean double, loading array<double>"
 
-def flat(windows: DataFrame, sequence: str = "sequence") -> DataFrame:
-    return windows.withColumn("_flat", F.flatten(F.col(sequence)))
+
+@dataclass(frozen=True)
+class Parts:
+    """Principal components: x is about mean + (x - mean) P P'."""
+
+    mean: np.ndarray
+    pc: np.ndarray
+
+    def rows(self) -> list[tuple]:
+        """Its parameters as rows of ``SCHEMA``."""
+        return [(i, float(m), [float(v) for v in p]) for i, (m, p) in enumerate(zip(self.mean, self.pc))]
+
+    @classmethod
+    def of(cls, rows) -> Parts:
+        own = sorted(rows, key=lambda r: r["position"])
+        return cls(np.array([r["mean"] for r in own], dtype=float), np.array([r["loading"] for r in own], dtype=float))
 
 
-def fit(windows: DataFrame, *, sequence: str = "sequence", latent: int = LATENT) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, components) of the train windows.  Windows whose last step is
-    labelled must be left out by the caller."""
-    rows = flat(windows, sequence).select(array_to_vector("_flat").alias("v"))
-    length = len(windows.select(F.flatten(sequence).alias("f")).first()["f"])
+def components(vectors: DataFrame, column: str, latent: int) -> Parts:
+    rows = vectors.select(array_to_vector(column).alias("v"))
+    length = len(vectors.select(F.col(column).alias("f")).first()["f"])
     model: PCAModel = PCA(k=min(latent, length), inputCol="v", outputCol="p").fit(rows)
     mean = rows.select(Summarizer.mean(rows["v"]).alias("m")).first()["m"].toArray()
-    return mean, model.pc.toArray()
+    return Parts(mean, model.pc.toArray())
 
 
-def reduce_rows(rows: DataFrame, normal: DataFrame, features: str, *, latent: int = LATENT) -> DataFrame:
+def flat(windows: DataFrame, sequence: str = "sequence") -> DataFrame:
+    return windows.withColumn("_flat", F.flatten(F.col(sequence)))
+
+
+def fit(windows: DataFrame, *, sequence: str = "sequence", latent: int = LATENT) -> Parts:
+    """Components of the train windows.  Windows whose last step is labelled must
+    be left out by the caller."""
+    return components(flat(windows, sequence), "_flat", latent)
+
+
+def reduce_rows(rows: DataFrame, parts: Parts, features: str) -> DataFrame:
     """``rows`` with the principal components of their features as ``_latent{i}``,
-    fitted on ``normal``, and ``_rest``, the squared length of what they leave."""
-    vectors = normal.select(array_to_vector(features).alias("v"))
-    length = len(normal.select(F.col(features).alias("f")).first()["f"])
-    k = min(latent, length)
-    pc = PCA(k=k, inputCol="v", outputCol="p").fit(vectors).pc.toArray()
-    mean = vectors.select(Summarizer.mean(vectors["v"]).alias("m")).first()["m"].toArray()
+    and ``_rest``, the squared length of what they leave."""
+    k = parts.pc.shape[1]
 
     @F.pandas_udf("array<double>")
-    def parts(x: pd.Series) -> pd.Series:
-        centred = np.stack(x.to_numpy()).astype(float) - mean
-        own = centred @ pc
+    def split(x: pd.Series) -> pd.Series:
+        centred = np.stack(x.to_numpy()).astype(float) - parts.mean
+        own = centred @ parts.pc
         rest = np.maximum(0.0, (centred ** 2).sum(axis=1) - (own ** 2).sum(axis=1))
         return pd.Series(list(np.hstack([own, rest[:, None]])))
 
-    out = rows.withColumn("_parts", parts(features))
+    out = rows.withColumn("_parts", split(features))
     return out.select("*", *[F.col("_parts")[i].alias(f"_latent{i}") for i in range(k)], F.col("_parts")[k].alias("_rest")).drop("_parts")
 
 
-def score(windows: DataFrame, model: tuple[np.ndarray, np.ndarray], n_features: int, *, sequence: str = "sequence", out: str = "score") -> DataFrame:
-    mean, pc = model
-
+def score(windows: DataFrame, parts: Parts, n_features: int, *, sequence: str = "sequence", out: str = "score") -> DataFrame:
     @F.pandas_udf("double")
     def last_step_error(vectors: pd.Series) -> pd.Series:
-        x = np.stack(vectors.to_numpy()).astype(float) - mean
-        rebuilt = (x @ pc) @ pc[-n_features:].T
+        x = np.stack(vectors.to_numpy()).astype(float) - parts.mean
+        rebuilt = (x @ parts.pc) @ parts.pc[-n_features:].T
         return pd.Series(((x[:, -n_features:] - rebuilt) ** 2).mean(axis=1))
 
     return flat(windows, sequence).withColumn(out, last_step_error("_flat")).drop("_flat")

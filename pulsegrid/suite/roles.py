@@ -167,13 +167,13 @@ SC = "sc AS (" + " UNION ALL ".join(
     f"/ {k}_std_{w}m END AS score FROM r" for k in KEYS for w in WIDTHS) + ")"
 
 
-def sql_predictions(prob: float = 0.99, tag: str = "") -> str:
+def sql_predictions(prob: float = 0.99, tag: str = "", before: str = SPLIT, rows: str = f"sc.bucket >= TIMESTAMP '{SPLIT}'") -> str:
     return f"""th{tag} AS (SELECT model, quantile_cont(score, {prob}) AS threshold FROM sc
-      WHERE bucket < TIMESTAMP '{SPLIT}' GROUP BY model),
+      WHERE bucket < TIMESTAMP '{before}' GROUP BY model),
     p{tag} AS (SELECT sc.model, sc.host, sc.bucket, sc.score, th{tag}.threshold,
       coalesce((sc.score > th{tag}.threshold)::INT, 0) AS y_pred,
       (EXISTS (SELECT 1 FROM w WHERE w.host = sc.host AND sc.bucket >= w.start_ts AND sc.bucket < w.end_ts))::INT AS y_true
-      FROM sc JOIN th{tag} ON sc.model = th{tag}.model WHERE sc.bucket >= TIMESTAMP '{SPLIT}')"""
+      FROM sc JOIN th{tag} ON sc.model = th{tag}.model WHERE {rows})"""
 
 
 def sql_metrics(p: str = "p") -> str:
