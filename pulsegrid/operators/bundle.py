@@ -34,7 +34,7 @@ SCHEMAS = {
     "row_parts": seqrecon.SCHEMA,
     "sequence_parts": seqrecon.SCHEMA,
     "thresholds": "model string, prob double, threshold double",
-    "spec": "run_id string, impute string, width int, widths array<int>, block int, seq_len int, sample int, rho double, "
+    "spec": "run_id string, impute string, width int, widths array<int>, block int, seq_len int, seq_by string, sample int, rho double, "
             "split timestamp_ntz, test_min timestamp_ntz, test_max timestamp_ntz",
 }
 PROMOTED = "run_id string, position long"
@@ -133,12 +133,12 @@ def vectors(rows: DataFrame, names: Sequence[str], mean: Sequence[float], scale:
     return rows.select(*keep, F.array(*[scaled(c, m, s) for c, m, s in zip(names, mean, scale)]).alias(out))
 
 
-def reduced_sequences(rows: DataFrame, parts: seqrecon.Parts, keep: Sequence[str], *, seq_len: int, width: int, block: int) -> DataFrame:
+def reduced_sequences(rows: DataFrame, parts: seqrecon.Parts, keep: Sequence[str], *, seq_len: int, seq_by: str, width: int, block: int) -> DataFrame:
     """Sequences of the last rows' principal components, with what the last row
     leaves of its features (``_rest``)."""
     short = seqrecon.reduce_rows(rows, parts, "x")
     lead = [f"_latent{i}" for i in range(parts.pc.shape[1])]
-    return rolling.sequences(short.select(*keep, "_rest", *lead), lead, length=seq_len, width=width, block=block)
+    return rolling.sequences(short.select(*keep, "_rest", *lead), lead, length=seq_len, by=seq_by, width=width, block=block)
 
 
 def sequence_scores(sequences: DataFrame, parts: seqrecon.Parts, latent: int, n_features: int) -> DataFrame:
@@ -147,20 +147,23 @@ def sequence_scores(sequences: DataFrame, parts: seqrecon.Parts, latent: int, n_
     return scored.withColumn("score", (F.col("score") * latent + F.col("_rest")) / n_features)
 
 
-def score(bundle: Bundle, rows: DataFrame, keep: Sequence[str] = ("host", "bucket")) -> DataFrame:
+def score(bundle: Bundle, rows: DataFrame, keep: Sequence[str] = ("host", "bucket"), wanted: Column | None = None) -> DataFrame:
     """(model, keep..., score) of feature rows under all models of a bundle.
 
     ``rows`` has the bundle's features as columns and is read three times: hand
-    over a stored table.  ``keep`` identifies a row and includes host and bucket.  Rows
-    without a full sequence have no score of the sequence model."""
+    over a stored table.  ``keep`` identifies a row and includes host and bucket.
+    ``wanted``, over ``keep``, says which rows to score; the others are only history.
+    Rows without a full sequence have no score of the sequence model."""
     s = bundle.spec
+    wanted = F.lit(True) if wanted is None else wanted
     x = vectors(rows, bundle.features, bundle.mean, bundle.scale, s["impute"], keep)
     latent = bundle.row_parts.pc.shape[1]
-    sequences = reduced_sequences(x, bundle.row_parts, keep, seq_len=s["seq_len"], width=s["width"], block=s["block"])
+    sequences = reduced_sequences(x, bundle.row_parts, keep, seq_len=s["seq_len"], seq_by=s["seq_by"],
+                                  width=s["width"], block=s["block"])
     scored = {
-        FOREST: iforest.score(x, bundle.forest, "x", keep, sample=s["sample"]),
-        ONE_CLASS: ocsvm.score(x, bundle.boundary, "x"),
-        SEQUENCE: sequence_scores(sequences, bundle.sequence_parts, latent, len(bundle.features)),
+        FOREST: iforest.score(x.where(wanted), bundle.forest, "x", keep, sample=s["sample"]),
+        ONE_CLASS: ocsvm.score(x.where(wanted), bundle.boundary, "x"),
+        SEQUENCE: sequence_scores(sequences.where(wanted), bundle.sequence_parts, latent, len(bundle.features)),
     }
     return reduce(DataFrame.unionByName, [df.select(F.lit(m).alias("model"), *keep, "score") for m, df in scored.items()])
 

@@ -145,10 +145,13 @@ def number_rows(df: DataFrame, *, keys: Sequence[str] = ("host",), time: str = "
 def sequences(df: DataFrame, columns: Sequence[str], *, length: int = 60,
               keys: Sequence[str] = ("host",), time: str = "bucket", width: int = tf.MINUTE,
               block: int = 1440, by: str = "rows", out: str = "sequence") -> DataFrame:
-    """The last ``length`` rows (``by='rows'``) or the rows of the last
-    ``length`` buckets (``by='time'``) of each row, as an array of vectors.
+    """The last ``length`` rows (``by='rows'``), the rows of the last ``length``
+    buckets (``by='time'``), or these buckets with zeros where there is no row
+    (``by='grid'``) of each row, as an array of vectors.
 
-    Rows without a full sequence are left out in the row form.  Sequences never
+    Rows without a full sequence are left out in the row form.  The grid form
+    needs nothing but the last buckets, so a stream with bounded history gives
+    what a batch gives; zeros are means when columns are scaled.  Sequences never
     cross a host.  Give only the few columns a model needs: data grows by
     ``length``."""
     vector = F.array(*[named(c).cast("double") for c in columns])
@@ -157,12 +160,18 @@ def sequences(df: DataFrame, columns: Sequence[str], *, length: int = 60,
         numbered = number_rows(base, keys=keys, time=time, width=width, block=block, out="_row")
         placed = _with_lookback(numbered, F.col("_row"), length - 1, block)
         frame = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(-(length - 1), 0)
-    elif by == "time":
+    elif by in ("time", "grid"):
         placed = _with_lookback(base, tf.bucket_index(F.col(time), width), length - 1, block)
         frame = Window.partitionBy(*keys, "_block").orderBy("_pos").rangeBetween(-(length - 1), 0)
     else:
         raise ValueError(f"unknown sequence rule: {by}")
-    done = placed.withColumn(out, F.collect_list("_vec").over(frame)).where("_home")
+    if by == "grid":
+        cells = F.map_from_entries(F.collect_list(F.struct("_pos", "_vec")).over(frame))
+        zeros = F.array(*[F.lit(0.0) for _ in columns])
+        done = placed.withColumn("_cells", cells).where("_home").withColumn(out, F.transform(
+            F.sequence(F.col("_pos") - F.lit(length - 1), F.col("_pos")), lambda p: F.coalesce(F.try_element_at("_cells", p), zeros))).drop("_cells")
+    else:
+        done = placed.withColumn(out, F.collect_list("_vec").over(frame)).where("_home")
     if by == "rows":
         done = done.where(F.size(out) == length)
     return done.drop("_vec", "_row", "_pos", "_block", "_home")

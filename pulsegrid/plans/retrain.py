@@ -23,6 +23,7 @@ class Settings:
     seq_quantile: float = 0.95
     top_k: int = 300
     seq_len: int = 60
+    seq_by: str = "rows"  # "grid" for bundles that streams score with
     row_latent: int = seqrecon.LATENT
     impute: str = "mean"
     width: int = tf.MINUTE
@@ -81,7 +82,7 @@ def fit(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
     # step loses counts in the score.
     row_parts = seqrecon.components(fit_rows.where("y_true = 0"), "x", s.row_latent)
     keep = [*s.row_key, "side", "y_true"]
-    sequences = bundle.reduced_sequences(x, row_parts, keep, seq_len=s.seq_len, width=s.width, block=s.block)
+    sequences = bundle.reduced_sequences(x, row_parts, keep, seq_len=s.seq_len, seq_by=s.seq_by, width=s.width, block=s.block)
     normal = materialize(sequences.where("side = 'train' AND y_true = 0").select("sequence"), "sequences")
     sequence_parts = seqrecon.fit(normal)
 
@@ -89,7 +90,7 @@ def fit(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
     test = F.col("side") == "test"
     spec = rows.agg(F.min(F.when(test, F.col("bucket"))).alias("test_min"), F.max(F.when(test, F.col("bucket"))).alias("test_max")).select(
         F.lit(run_id).alias("run_id"), F.lit(s.impute).alias("impute"), F.lit(s.width).alias("width"),
-        F.array(*map(F.lit, s.widths)).alias("widths"), F.lit(s.block).alias("block"), F.lit(s.seq_len).alias("seq_len"),
+        F.array(*map(F.lit, s.widths)).alias("widths"), F.lit(s.block).alias("block"), F.lit(s.seq_len).alias("seq_len"), F.lit(s.seq_by).alias("seq_by"),
         F.lit(iforest.SAMPLE).alias("sample"), F.lit(float(boundary.rho)).alias("rho"), split.alias("split"), "test_min", "test_max")
     models = bundle.Bundle(spec.first(), selected, column("mean"), column("std"), column("scale"), forest, boundary, row_parts, sequence_parts)
     scores = materialize(bundle.score(models, rows, SCORED), "scores")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +43,29 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+_scope: ContextVar[str | None] = ContextVar("pulsegrid_scope", default=None)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/pulsegrid/{label}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    return f"{shared_dir(spark)}/pulsegrid/{f'{scope}/' if scope else ''}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that are stored inside the block when it ends.
+
+    Only for blocks whose results are written elsewhere, or collected, before
+    they end: a DataFrame that still reads such a table fails afterwards."""
+    scope = f"scope-{uuid.uuid4().hex}"
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/pulsegrid/{scope}")
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.streaming.features import batch_folder, stored_before
+from pulsegrid.streaming.state import days_of, put_day
 
 ALERT_KEY = ("host", "bucket", "model")
 
@@ -20,19 +20,16 @@ def exceeding(scored: DataFrame, source: str = "realtime") -> DataFrame:
 
 
 def alert_sink(root: str, score: Callable[[DataFrame], DataFrame], key: Sequence[str] = ALERT_KEY) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch``-style function: score features, append new alerts.
+    """``foreachBatch``-style function: score features, append new alerts by day.
 
-    A key already alerted by an earlier batch is not written again, and a
-    replayed batch overwrites only its own folder."""
+    ``features`` is a stored table.  A key already alerted by an earlier batch is not
+    written again, a replayed batch replaces only what it has written, and only
+    the days of the batch are looked up."""
     def run(features: DataFrame, batch_id: int) -> None:
         found = exceeding(score(features))
-        earlier = stored_before(features.sparkSession, root, batch_id, found.schema)
-        # only alerts of the same times can repeat
-        span = found.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-        earlier = earlier.where(
-            (F.col("bucket") >= span.select("lo").scalar()) & (F.col("bucket") <= span.select("hi").scalar())
-        )
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
+        earlier = days_of(features.sparkSession, root, features, schema).where(F.col("batch_id") < batch_id)
         fresh = found.dropDuplicates(list(key)).join(earlier.select(*key), list(key), "left_anti")
-        fresh.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+        put_day(fresh, root, batch_id)
 
     return run

@@ -2,8 +2,8 @@
 
 Each micro-batch of closed buckets is stored, then its rolling features are
 computed over itself plus the stored buckets of the last ``max(widths)``.
-Everything a micro-batch writes goes to its own ``batch_id`` folder in
-overwrite mode, so that replaying a failed batch changes nothing.
+Replaying a failed batch changes nothing, and what is kept does not grow with
+the uptime (:mod:`pulsegrid.streaming.state`).
 """
 
 from __future__ import annotations
@@ -19,44 +19,38 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pulsegrid.functions import timeflow as tf
 from pulsegrid.functions.metrics import ROLLING_WIDTHS
 from pulsegrid.operators.rolling import rolling_with_history
-from pulsegrid.operators.warehouse import table_exists
 from pulsegrid.streaming.samples import KEEP_MINUTES
-
-
-def batch_folder(root: str, batch_id: int) -> str:
-    return f"{root}/batch_id={batch_id}"
-
-
-def stored_before(spark, root: str, batch_id: int, schema) -> DataFrame:
-    """What earlier batches wrote; empty at the start."""
-    if not table_exists(spark, root):
-        return spark.createDataFrame([], schema)
-    return spark.read.option("mergeSchema", True).parquet(root).where(F.col("batch_id") < batch_id)
+from pulsegrid.streaming.state import History, days_of, put_day
 
 
 def rolling_batch(root: str, *, keys: Sequence[str] = ("host", "key_"), column: str = "value",
                   time: str = "bucket", width: int = tf.MINUTE, widths: Sequence[int] = ROLLING_WIDTHS,
-                  then: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: closed buckets in, features in
-    ``root/features``; ``then`` receives the features of the batch."""
-    closed, features = f"{root}/closed", f"{root}/features"
+                  keep: int = KEEP_MINUTES, then: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: closed buckets in, features in ``root/features``
+    by day; ``then`` receives the features of the batch.
+
+    ``root/closed`` holds the last ``keep`` buckets and never more than a few
+    folders."""
+    if keep < max(widths):
+        raise ValueError("windows look back further than buckets are kept")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        day = F.date_format(time, "yyyy-MM-dd")
-        batch.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(batch_folder(closed, batch_id))
-        mine = spark.read.schema(batch.schema).parquet(batch_folder(closed, batch_id))
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields)
+        closed = History(f"{root}/closed", fields, keep * width, time)
+        closed.compact(spark, batch_id)
+        mine = closed.put(batch, batch_id)
         first = mine.agg(F.min(time).alias("t")).first()["t"]
         if first is None:
             return
         reach = tf.plus_seconds(F.lit(first).cast("timestamp_ntz"), -(max(widths) - 1) * width)
-        history = stored_before(spark, closed, batch_id, batch.schema).where(
-            (F.col(time) >= reach) & (F.col("day") >= F.date_format(reach, "yyyy-MM-dd"))
-        ).select(*batch.columns)
+        history = closed.before(spark, batch_id).where(F.col(time) >= reach)
         rolled = rolling_with_history(mine, history, [column], keys=keys, time=time, width=width, widths=widths)
-        rolled.write.mode("overwrite").parquet(batch_folder(features, batch_id))
+        put_day(rolled, f"{root}/features", batch_id, time)
         if then is not None:
-            then(spark.read.schema(rolled.schema).parquet(batch_folder(features, batch_id)), batch_id)
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rolled.schema.fields)
+            stored = days_of(spark, f"{root}/features", mine, schema, time)
+            then(stored.where(F.col("batch_id") == batch_id).select(*rolled.columns), batch_id)
 
     return run
 
