@@ -48,6 +48,6 @@ def _rows(pieces: dict[int, np.ndarray]) -> pa.RecordBatch:
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """A column of arrays of one length as rows of a matrix."""
+    """A column of arrays of one length as rows of a matrix, nulls as NaN."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
     return flat.reshape(len(column), -1)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import ratios
 from pulsegrid.functions.metrics import HOURLY_MARK, named
+from pulsegrid.operators.dense import added_up, matrix
 from pulsegrid.operators.quantiles import exact_quantiles
 
 # Fixed values of feature selection.
@@ -73,47 +73,37 @@ def scale_columns(df: DataFrame, stats: DataFrame, columns: Sequence[str], imput
     return df.withColumns(out)
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """|Pearson| of every feature pair over the rows where both are present.
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows where both are present, |Pearson| over these) of every feature pair;
+    NaN where it is not defined.
 
-    Each task adds up Gram matrices of the null mask and the null-filled,
-    centred values; only F x F sums per task are shuffled.
-    """
-    columns = list(columns)
+    Each task adds up Gram matrices of the null mask and the null-filled, centred
+    values, and only these travel."""
+    f = len(columns)
     # centring keeps the sums of squares well conditioned; F numbers
     first = df.agg(*[F.avg(named(c).cast("double")).alias(str(i)) for i, c in enumerate(columns)]).first()
     centre = np.array([v if v is not None else 0.0 for v in first], dtype=float)
 
-    def gram(batches):
-        f = len(columns)
-        sums = np.zeros((5, f, f))
-        seen = False
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=float, na_value=np.nan) - centre
-            m = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            sq = x * x
-            sums += np.stack([m.T @ m, x.T @ m, m.T @ x, sq.T @ m, x.T @ x])
-            seen = True
-        if seen:
-            i, j = np.triu_indices(f, 1)
-            n, si, sj, sii, sij = (s[i, j] for s in sums)
-            sjj = (sums[3].T)[i, j]
-            yield pd.DataFrame({"i": i, "j": j, "n": n, "si": si, "sj": sj, "sii": sii, "sjj": sjj, "sij": sij})
-
-    parts = df.select(*[named(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)]).mapInPandas(
-        gram, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double"
-    )
-    s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
-    cov = F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
-    vi = F.col("sii") - F.col("si") * F.col("si") / F.col("n")
-    vj = F.col("sjj") - F.col("sj") * F.col("sj") / F.col("n")
-    names = F.array(*[F.lit(c) for c in columns])
-    corr = F.when((F.col("n") > 1) & (vi > 0) & (vj > 0), F.abs(cov / F.sqrt(vi * vj)))
-    return s.select(
-        names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"),
-        F.col("n").cast("long").alias("n"), F.least(corr, F.lit(1.0)).alias("corr"),
-    )
+    def gram(total: np.ndarray, batch) -> None:
+        x = matrix(batch.column(0)) - centre
+        m = (~np.isnan(x)).astype(float)
+        x = np.nan_to_num(x)
+        total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+
+    rows = df.select(F.array(*[named(c).cast("double") for c in columns]).alias("x"))
+    n, s, q, p = added_up(rows, gram, (4, f, f))
+    with np.errstate(all="ignore"):
+        cov, var = p - s * s.T / n, q - s * s / n
+        corr = np.where((n > 1) & (var > 0) & (var.T > 0), np.minimum(np.abs(cov / np.sqrt(var * var.T)), 1.0), np.nan)
+    return n, corr
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """|Pearson| of every feature pair over the rows where both are present."""
+    n, corr = correlation_matrix(df, columns)
+    rows = [(columns[i], columns[j], int(round(n[i, j])), None if np.isnan(corr[i, j]) else float(corr[i, j]))
+            for i, j in zip(*np.triu_indices(len(columns), 1))]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, n long, corr double")
 
 
 def select_features(df: DataFrame, columns: Sequence[str], *, top_k: int | None = None,
@@ -121,19 +111,16 @@ def select_features(df: DataFrame, columns: Sequence[str], *, top_k: int | None
     """Varying features, thinned greedily (an earlier column wins over a later
     one it correlates with), then the ``top_k`` by variance.
 
-    Rows stay in Spark; the driver sees one variance per feature and the pairs
-    above the limit, at most F x F numbers."""
+    Rows stay in Spark; the driver sees one variance per feature and F x F sums."""
     var = {r["feature"]: r["variance"] for r in varying(df, columns, least_variance).collect()}
     kept = [c for c in columns if c in var]
     if len(kept) > 1:
-        close: dict[str, set[str]] = {}
-        for r in correlations(df, kept).where(F.col("corr") > max_corr).collect():
-            close.setdefault(r["feature_a"], set()).add(r["feature_b"])
-        gone: set[str] = set()
-        for c in kept:
-            if c not in gone:
-                gone |= close.get(c, set())
-        kept = [c for c in kept if c not in gone]
+        close = np.triu(correlation_matrix(df, kept)[1] > max_corr, 1)
+        gone = np.zeros(len(kept), bool)
+        for i in range(len(kept)):
+            if not gone[i]:
+                gone |= close[i]
+        kept = [c for c, out in zip(kept, gone) if not out]
     if top_k and len(kept) > top_k:
         kept = sorted(kept, key=lambda c: (-var[c], c))[:top_k]
     return kept

@@ -73,13 +73,35 @@ def load_chunks(spark: SparkSession, chunks: DataFrame, table: str, ledger: str,
     return fresh
 
 
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Is there anything at ``path``, which may be a glob pattern?"""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    fs, hadoop = _fs(spark, path)
+    found = fs.globStatus(hadoop)
     return found is not None and len(found) > 0
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none when it does not exist."""
+    fs, hadoop = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _fs(spark, path)
+    fs.delete(hadoop, True)
+
+
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the partition column that a table on disk has."""
+    mark = f"{column}="
+    return [n[len(mark):] for n in listed(spark, path) if n.startswith(mark)]
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if table_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
@@ -108,5 +130,29 @@ def archive_and_purge(spark: SparkSession, table: DataFrame, archive_path: str,
     )
 
 
+def archive_days(spark: SparkSession, path: str, archive_path: str, before: str, column: str = "day") -> DataFrame:
+    """Move the day partitions older than the day ``before`` to a folder of this run
+    below the archive.  Only those days are read; each is counted again from the
+    archive before its folder is dropped, and younger days are not touched.  A run
+    that was cut off leaves days in both places; the next one moves them again and
+    the archive has them once per run.  Returns (day, archived) of this run."""
+    days = [d for d in partitions(spark, path, column) if d < before]
+    schema = f"{column} string, archived long"
+    if not days:
+        return spark.createDataFrame([], schema)
+    old = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*[f"{path}/{column}={d}" for d in days])
+    old = old.withColumn(column, F.col(column).cast("string"))
+    own = f"{archive_path}/run={uuid.uuid4().hex}"
+    old.write.partitionBy(column).parquet(own)
+    count = lambda df: {r[column]: r["n"] for r in df.groupBy(F.col(column).cast("string").alias(column)).agg(F.count(F.lit(1)).alias("n")).collect()}
+    expected, found = count(old), count(spark.read.parquet(own))
+    wrong = sorted(d for d in expected if found.get(d) != expected[d])
+    if wrong:
+        raise RuntimeError(f"the archive differs on {wrong}; nothing was purged")
+    for d in days:
+        removed(spark, f"{path}/{column}={d}")
+    return spark.createDataFrame(sorted(found.items()), schema)
+
+
 def retention_cutoff(newest: Column, days: int = 30) -> Column:
     return tf.plus_seconds(newest, -days * tf.DAY)

@@ -6,6 +6,7 @@ call changes nothing.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ from pulsegrid.functions import timeflow as tf
 from pulsegrid.functions.metrics import ROLLING_WIDTHS, metric_columns
 from pulsegrid.operators import asof, matrix, reports, warehouse
 from pulsegrid.plans import enrich
+from pulsegrid.session import materialize
+from pulsegrid.sources import alarms as alarm_days
 from pulsegrid.sources import chunks, labels
 from pulsegrid.sources.monitoring import EVENT_PROBLEM, EVENT_SOURCE
 
@@ -39,6 +42,9 @@ class Layout:
     def enriched(self) -> str:
         return f"{self.root}/enriched"
 
+    def alarms(self, table: str) -> str:
+        return f"{self.root}/alarms/{table}"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
@@ -78,34 +84,69 @@ def chunk_matrix(spark: SparkSession, at: Layout, which: Sequence[str] | None =
     return wide.withColumn("day", F.date_format("bucket", DAY_FORMAT))
 
 
-def alarms(spark: SparkSession, at: Layout) -> DataFrame | None:
-    """(host, alarm_ts) from the event log, or from the problem log when the
-    event log gives none; None when there is neither."""
+def _alarm_links(spark: SparkSession, at: Layout) -> list:
     dims = {t: dimension(spark, at, t) for t in ("triggers", "functions", "items", "hosts")}
-    links = [
+    return [
         (dims["triggers"].select("triggerid"), "objectid", "triggerid"),
         (dims["functions"].select(F.col("triggerid").alias("f_triggerid"), F.col("itemid").alias("f_itemid")), "triggerid", "f_triggerid"),
         (dims["items"].select("itemid", F.col("hostid").alias("i_hostid")), "f_itemid", "itemid"),
         (dims["hosts"].select("hostid", "host"), "i_hostid", "hostid"),
     ]
 
-    def chain(table: str, condition) -> DataFrame | None:
-        if not chunks.has_chunks(spark, at.raw(table)):
-            return None
-        log = chunks.load_raw(spark, at.raw(table), ["eventid"]).where(condition)
-        return asof.alarm_chain(log.select("eventid", "objectid", "clock"), links)
-
-    found = [
-        c for c in (
-            chain("events", (F.col("source") == EVENT_SOURCE) & (F.col("value") == EVENT_PROBLEM)),
-            chain("problem", F.col("clock").isNotNull()),
-        ) if c is not None
-    ]
+
+#: Alarm logs in order of preference, with the rows that are alarms.
+ALARM_LOGS = {"events": f"source = {EVENT_SOURCE} AND value = {EVENT_PROBLEM}", "problem": "clock IS NOT NULL"}
+
+
+def alarm_log(spark: SparkSession, at: Layout, table: str, which: Sequence[str] | None = None) -> DataFrame | None:
+    """Alarm rows of a raw log, of the given chunks or of all; None without chunks."""
+    if not chunks.has_chunks(spark, at.raw(table)):
+        return None
+    log = chunks.read_chunks(spark, at.raw(table))
+    if which is not None:
+        log = log.where(F.col("chunk_id").isin(*which))
+    return matrix.keep_last(log, ["eventid"], ["chunk_id"]).where(ALARM_LOGS[table])
+
+
+def resolved(spark: SparkSession, at: Layout, log: DataFrame) -> DataFrame:
+    """(eventid, host, alarm_ts) of alarm rows whose host is known."""
+    chain = asof.alarm_chain(log.select("eventid", "objectid", "clock"), _alarm_links(spark, at))
+    once = asof.distinct_alarms(chain, "eventid", "host", "clock")
+    return once.select("eventid", "host", tf.from_epoch(F.col("clock").cast("bigint")).alias("alarm_ts"))
+
+
+def alarms(spark: SparkSession, at: Layout) -> DataFrame | None:
+    """(host, alarm_ts) from the event log, or from the problem log when the
+    event log gives none; None when there is neither."""
+    found = [log for log in (alarm_log(spark, at, t) for t in ALARM_LOGS) if log is not None]
     if not found:
         return None
-    either = found[0] if len(found) == 1 else asof.with_fallback(*found)
-    once = asof.distinct_alarms(either, "eventid", "host", "clock")
-    return once.select("host", tf.from_epoch(F.col("clock").cast("bigint")).alias("alarm_ts"))
+    columns = ["eventid", "objectid", "clock"]
+    either = found[0].select(*columns) if len(found) == 1 else asof.with_fallback(*[f.select(*columns) for f in found])
+    return resolved(spark, at, either).select("host", "alarm_ts")
+
+
+def add_alarms(spark: SparkSession, at: Layout, which: Sequence[str]) -> None:
+    """Bring the alarms of some chunks into the stores by day, one for each log.
+
+    Hosts are resolved by the inventory of this moment; a rebuild resolves all
+    alarms by its own."""
+    for table in ALARM_LOGS:
+        log = alarm_log(spark, at, table, which)
+        if log is not None:
+            log = materialize(log.select("eventid", "objectid", "clock"), "alarm-log")
+            if not log.isEmpty():
+                spark.range(1).write.mode("ignore").parquet(f"{at.alarms(table)}/seen")
+                alarm_days.add(resolved(spark, at, log), at.alarms(table))
+
+
+def alarms_between(spark: SparkSession, at: Layout, start: int, end: int) -> DataFrame | None:
+    """What an hour needs of :func:`alarms`: its days and the last alarms before them."""
+    if not any(chunks.has_chunks(spark, at.raw(t)) for t in ALARM_LOGS):
+        return None
+    table = "events" if warehouse.table_exists(spark, f"{at.alarms('events')}/seen") else "problem"
+    first, last = (time.strftime("%Y-%m-%d", time.gmtime(t)) for t in (start, end))
+    return alarm_days.between(spark, at.alarms(table), first, last)
 
 
 def windows(spark: SparkSession, at: Layout) -> DataFrame | None:
@@ -131,7 +172,7 @@ def enrich_range(spark: SparkSession, at: Layout, start: int, end: int) -> DataF
     stored = spark.read.option("mergeSchema", True).parquet(at.matrix).where(
         (F.col("day") >= F.date_format(reach, DAY_FORMAT)) & (F.col("day") <= F.date_format(stop, DAY_FORMAT))
     )
-    out = enrich.enriched_range(stored, metric_columns(stored.columns), alarms(spark, at), windows(spark, at), begin, stop)
+    out = enrich.enriched_range(stored, metric_columns(stored.columns), alarms_between(spark, at, start, end), windows(spark, at), begin, stop)
     return out.withColumn("day", F.date_format("bucket", DAY_FORMAT))
 
 
@@ -147,6 +188,7 @@ def run_chunk(spark: SparkSession, at: Layout, read_range: Callable[[str], DataF
     known = warehouse.read_or_empty(spark, at.ledger, "chunk_id string, row_count long")
     if not force and not known.where(F.col("chunk_id") == chunk).isEmpty():
         return "already loaded"
+    add_alarms(spark, at, [chunk])
     warehouse.load_chunks(
         spark, chunk_matrix(spark, at, [chunk]), at.matrix, at.ledger,
         keys=["host", "bucket"], partition="day", force=force,
@@ -158,6 +200,12 @@ def run_chunk(spark: SparkSession, at: Layout, read_range: Callable[[str], DataF
 def rebuild(spark: SparkSession, at: Layout, to: Layout) -> DataFrame:
     """Matrix and enriched tables of ``to`` from all raw chunks of ``at``;
     returns the row counts."""
+    for table in ALARM_LOGS:
+        warehouse.removed(spark, to.alarms(table))
+        log = alarm_log(spark, at, table)
+        if log is not None and not log.isEmpty():
+            spark.range(1).write.mode("ignore").parquet(f"{to.alarms(table)}/seen")
+            alarm_days.add(resolved(spark, at, log), to.alarms(table))
     wide = chunk_matrix(spark, at)
     wide.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(to.matrix)
     stored = spark.read.parquet(to.matrix)

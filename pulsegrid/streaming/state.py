@@ -17,26 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
+from pulsegrid.operators.warehouse import listed, removed
 
 DAY = "yyyy-MM-dd"
 
 
-def _fs(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
-
-
-def listed(spark: SparkSession, path: str) -> list[str]:
-    """Names below a folder; none when it does not exist."""
-    fs, hadoop = _fs(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    fs, hadoop = _fs(spark, path)
-    fs.delete(hadoop, True)
-
-
 @dataclass(frozen=True)
 class History:
     """Rows of the last ``keep`` seconds of event time, merged every ``every`` batches."""

@@ -10,7 +10,8 @@ from pulsegrid.functions import timeflow as tf
 from pulsegrid.operators import asof, intervals, matrix, rolling, warehouse
 from pulsegrid.plans import enrich
 from pulsegrid.session import materialize, work_path
-from pulsegrid.sources import chunks, labels, monitoring
+from pulsegrid.sources import alarms as alarm_days
+from pulsegrid.sources import chunks, labels, monitoring, pull
 from pulsegrid.suite import roles
 from pulsegrid.suite.registry import query
 from pulsegrid.suite.roles import GRID, KEYS, ROLL, WIDTH, WIDTHS, rounded, table
@@ -33,6 +34,27 @@ def scan_history_range(spark, sf):
     )
 
 
+@query("pull_orders", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def pull_orders(spark, sf):
+    """Orders pulled in eight key ranges, page by page; the first try of every
+    range's first page fails."""
+    path, failed = f"{sf}/orders.parquet", set()
+
+    def fetch(start, stop, after, limit):
+        import pyarrow.dataset as ds
+
+        if after is None and start not in failed:
+            failed.add(start)
+            raise OSError("connection lost")
+        low, key = start if after is None else after + 1, ds.field("o_orderkey")
+        got = ds.dataset(path).to_table(columns=["o_orderkey", "o_custkey", "o_totalprice"], filter=(key >= low) & (key < stop)).sort_by("o_orderkey")
+        return list(zip(*[c.to_pylist() for c in got.slice(0, limit).columns]))
+
+    span = table(spark, sf, "orders").agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).first()
+    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+    return pull.pulled(spark, "orders_pages", fetch, schema, span["lo"], span["hi"] + 1, policy=pull.Policy(page=5000, wait=0.05))
+
+
 @query("scan_trends_range", f"""
 WITH {roles.S}, {roles.TR} SELECT host, key_, ts, num, value_min, round(value_avg + 3e-8, 6) AS value_avg, value_max
 FROM tr WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{END}'""")
@@ -408,6 +430,24 @@ def asof_last_alarm(spark, sf):
 SQL_SPANS = f"{roles.A}, {roles.W}, sp AS (SELECT host, alarm_ts AS start_ts, alarm_ts + INTERVAL 10 HOUR AS end_ts FROM a UNION ALL SELECT host, start_ts, end_ts FROM w)"
 
 
+@query("asof_by_day", f"""{roles.WIDE}, {roles.A}
+SELECT m.host, m.bucket, round(coalesce((epoch_us(m.bucket) - epoch_us(a.alarm_ts)) / 60000000.0, 999999) + 3e-8, 6) AS time_since_last_alarm
+FROM m ASOF LEFT JOIN a ON m.host = a.host AND m.bucket >= a.alarm_ts
+WHERE m.bucket >= TIMESTAMP '2024-01-17 06:00:00' AND m.bucket < TIMESTAMP '2024-01-18 18:00:00'""")
+def asof_by_day(spark, sf):
+    """Two days' rows from the alarms of these days and one carry row per host; the
+    alarms came in five deliveries, one of them late."""
+    root = work_path(spark, "alarm-days")
+    rows = roles.samples(spark, sf).where("key_ = 'error' AND value > 100").select(
+        F.col("event_id").alias("eventid"), "host", F.col("ts").alias("alarm_ts"))
+    for part in (0, 1, 3, 4, 2):  # thirds of ten days, the third one last
+        lo, hi = (tf.plus_seconds(tf.ntz("2024-01-01 00:00:00"), d * tf.DAY) for d in (6 * part, 6 * part + 6))
+        alarm_days.add(rows.where((F.col("alarm_ts") >= lo) & (F.col("alarm_ts") < hi)), root)
+    known = alarm_days.between(spark, root, "2024-01-17", "2024-01-18")
+    m = monitoring.in_range(roles.wide(spark, sf).select("host", "bucket"), "bucket", tf.ntz("2024-01-17 06:00:00"), tf.ntz("2024-01-18 18:00:00"))
+    return rounded(asof.time_since_last_alarm(m, known, **GRID), "time_since_last_alarm")
+
+
 @query("interval_label", f"""{roles.WIDE}, {SQL_SPANS} SELECT host, bucket,
   (EXISTS (SELECT 1 FROM sp WHERE sp.host = m.host AND m.bucket >= sp.start_ts AND m.bucket < sp.end_ts))::INT AS is_anomaly FROM m""")
 def interval_label(spark, sf):
@@ -481,6 +521,21 @@ def archive_purge(spark, sf):
     return warehouse.archive_and_purge(spark, m, work_path(spark, "archive"), work_path(spark, "kept"), cut)
 
 
+@query("archive_days", f"""{roles.WIDE}, d AS (SELECT strftime(bucket, '%Y-%m-%d') AS day, bucket FROM m),
+ k AS (SELECT strftime(max(bucket) - INTERVAL 14 DAY, '%Y-%m-%d') AS cut FROM m)
+SELECT day, count(*) AS n_rows, CASE WHEN day < cut THEN 'archive' ELSE 'table' END AS place FROM d, k GROUP BY day, cut""")
+def archive_days(spark, sf):
+    """Retention by dropping day partitions: rows per day, and where they are."""
+    path, archive = work_path(spark, "by-day"), work_path(spark, "archive")
+    m = roles.wide(spark, sf).withColumn("day", F.date_format("bucket", "yyyy-MM-dd"))
+    m.write.partitionBy("day").parquet(path)
+    newest = spark.read.parquet(path).agg(F.max("bucket").alias("t")).scalar()
+    cut = spark.range(1).select(F.date_format(warehouse.retention_cutoff(newest, 14), "yyyy-MM-dd").alias("d")).first()["d"]
+    moved = warehouse.archive_days(spark, path, archive, cut)
+    kept = spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return moved.select("day", F.col("archived").alias("n_rows"), F.lit("archive").alias("place")).unionByName(kept.withColumn("place", F.lit("table")))
+
+
 # ---- matrix -------------------------------------------------------------------
 
 ROUND_KEYS = ", ".join(f"round({k} + 3e-8, 6) AS {k}" for k in KEYS)
@@ -583,19 +638,46 @@ def coverage_gaps(spark, sf):
     return per_host.unionByName(rolling.gaps(overall))
 
 
-@query("sequence_windows", f"""{roles.WIDE}, z AS (SELECT host, bucket, coalesce(click, 0) AS a, coalesce(view, 0) AS b FROM m)
-SELECT * FROM (SELECT host, bucket, count(*) OVER f AS n_steps, round(first_value(a) OVER f + 3e-8, 6) AS first_click,
- round(last_value(b) OVER f + 3e-8, 6) AS last_view, round(sum(a) OVER f + 3e-6, 4) AS sum_click
+def _steps(seq):
+    """Number of steps, first and last value and sum of every key of a sequence."""
+    def cells(i: int, k: str) -> list:
+        total = F.aggregate("sequence", F.lit(0.0), lambda acc, v: acc + v[i])
+        return [roles.rnd(F.element_at("sequence", 1)[i]).alias(f"first_{k}"), roles.rnd(F.element_at("sequence", -1)[i]).alias(f"last_{k}"),
+                roles.rnd(total, 4).alias(f"sum_{k}")]
+
+    return seq.select("host", "bucket", F.size("sequence").cast("long").alias("n_steps"), *[c for i, k in enumerate(KEYS) for c in cells(i, k)])
+
+
+SQL_FILLED = f"{roles.WIDE}, z AS (SELECT host, bucket, epoch(bucket)::BIGINT // 3600 AS pos, " + ", ".join(f"coalesce({k}, 0) AS {k}" for k in KEYS) + " FROM m)"
+SQL_STEPS = ", ".join(f"round(first_value({k}) OVER f + 3e-8, 6) AS first_{k}, round(last_value({k}) OVER f + 3e-8, 6) AS last_{k}, round(sum({k}) OVER f + 3e-6, 4) AS sum_{k}" for k in KEYS)
+
+
+@query("sequence_windows", f"""{SQL_FILLED}
+SELECT * FROM (SELECT host, bucket, count(*) OVER f AS n_steps, {SQL_STEPS}
  FROM z WINDOW f AS (PARTITION BY host ORDER BY bucket ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)) WHERE n_steps = 60""")
 def sequence_windows(spark, sf):
-    m = roles.wide(spark, sf).select("host", "bucket", "click", "view").fillna(0.0)
-    seq = rolling.sequences(m, ["click", "view"], length=60, width=WIDTH, block=roles.BLOCK)
-    return seq.select(
-        "host", "bucket", F.size("sequence").cast("long").alias("n_steps"),
-        roles.rnd(F.col("sequence")[0][0]).alias("first_click"),
-        roles.rnd(F.element_at("sequence", -1)[1]).alias("last_view"),
-        roles.rnd(F.aggregate("sequence", F.lit(0.0), lambda acc, v: acc + v[0]), 4).alias("sum_click"),
-    )
+    m = roles.wide(spark, sf).select("host", "bucket", *KEYS).fillna(0.0)
+    return _steps(rolling.sequences(m, KEYS, length=60, width=WIDTH, block=roles.BLOCK))
+
+
+@query("sequence_by_time", f"""{SQL_FILLED}
+SELECT host, bucket, count(*) OVER f AS n_steps, {SQL_STEPS}
+FROM z WINDOW f AS (PARTITION BY host ORDER BY pos RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)""")
+def sequence_by_time(spark, sf):
+    """The serving form: rows of the last 60 buckets, however many there are."""
+    m = roles.wide(spark, sf).select("host", "bucket", *KEYS).fillna(0.0)
+    return _steps(rolling.sequences(m, KEYS, length=60, width=WIDTH, block=roles.BLOCK, by="time"))
+
+
+@query("sequence_on_grid", f"""{SQL_FILLED}
+SELECT host, bucket, 60::BIGINT AS n_steps, """ + ", ".join(
+    f"round(CASE WHEN first_value(pos) OVER f = pos - 59 THEN first_value({k}) OVER f ELSE 0 END + 3e-8, 6) AS first_{k}, round({k} + 3e-8, 6) AS last_{k}, round(sum({k}) OVER f + 3e-6, 4) AS sum_{k}"
+    for k in KEYS) + """
+FROM z WINDOW f AS (PARTITION BY host ORDER BY pos RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)""")
+def sequence_on_grid(spark, sf):
+    """The form that streams score: the last 60 buckets, zeros where there is no row."""
+    m = roles.wide(spark, sf).select("host", "bucket", *KEYS).fillna(0.0)
+    return _steps(rolling.sequences(m, KEYS, length=60, width=WIDTH, block=roles.BLOCK, by="grid"))
 
 
 # ---- the feature job ------------------------------------------------------------

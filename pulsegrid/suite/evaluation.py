@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import metrics as mx
 from pulsegrid.functions import ratios
 from pulsegrid.functions import timeflow as tf
-from pulsegrid.operators import audit, bundle, evaluate, features, intervals, matrix, reports, rolling, warehouse
+from pulsegrid.operators import audit, bundle, evaluate, features, intervals, matrix, reports, rolling, sketches, warehouse
 from pulsegrid.operators.detectors import iforest, ocsvm, seqrecon
 from pulsegrid.operators.quantiles import exact_quantiles
 from pulsegrid.plans import retrain
@@ -205,6 +205,23 @@ def quantile_threshold(spark, sf):
     return rounded(evaluate.thresholds(train, [0.95, 0.99, 0.9995]), "threshold")
 
 
+@query("sketch_thresholds", f"""{ROLLED}, {roles.SC} SELECT model, prob, count(*) AS n, true AS within_bound
+FROM sc, (SELECT unnest([0.5, 0.95, 0.99]::DOUBLE[]) AS prob) WHERE bucket >= TIMESTAMP '2024-01-05' AND bucket < TIMESTAMP '{SPLIT}' AND score IS NOT NULL GROUP BY model, prob""")
+def sketch_thresholds(spark, sf):
+    """Thresholds of a range of days from one sketch per model and day, and whether
+    their ranks in the scores of the range are as near as the bound says."""
+    scores, path = materialize(roles.scores(spark, sf), "scores"), work_path(spark, "sketches")
+    sketches.daily(scores, ["model"], "score").write.partitionBy("day").parquet(path)
+    days = spark.read.parquet(path).where((F.col("day") >= "2024-01-05") & (F.col("day") < SPLIT[:10]))
+    found = settle(sketches.quantiles(days, ["model"], [0.5, 0.95, 0.99]), "sketched")
+    rows = scores.where((F.col("bucket") >= tf.ntz("2024-01-05 00:00:00")) & (F.col("bucket") < roles.split()) & F.col("score").isNotNull())
+    ranks = rows.select("model", "score").join(found, "model").groupBy("model", "prob", F.col("n"), "rank_error").agg(
+        F.count_if(F.col("score") < F.col("quantile")).alias("below"), F.count_if(F.col("score") <= F.col("quantile")).alias("upto"))
+    # a value has all ranks from the share below it to the share up to it
+    near = (F.col("below") / F.col("n") <= F.col("prob") + F.col("rank_error")) & (F.col("upto") / F.col("n") >= F.col("prob") - F.col("rank_error"))
+    return ranks.select("model", "prob", "n", near.alias("within_bound"))
+
+
 @query("event_quantiles", """
 SELECT event_type, prob, round(q + 3e-8, 6) AS quantile FROM (
  SELECT event_type, unnest([0.01, 0.5, 0.99]::DOUBLE[]) AS prob, unnest(quantile_cont(value, [0.01, 0.5, 0.99])) AS q FROM events GROUP BY event_type)""")
@@ -379,14 +396,14 @@ def topk_variance(spark, sf):
     return rounded(features.top_by_variance(features.variances(train_features(spark, sf), FEATURES), 10), "variance")
 
 
-CORR = KEYS + [f"click_avg_{w}m" for w in WIDTHS]
+CORR = KEYS + [f"{k}_avg_{w}m" for k in KEYS for w in WIDTHS]
 
 
-@query("feature_corr", f"{ROLLED}, x AS (SELECT m.*, {', '.join(f'r.click_avg_{w}m' for w in WIDTHS)} FROM m JOIN r ON m.host = r.host AND m.bucket = r.bucket) "
-       + " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, round(abs(corr({a}, {b})) + 3e-8, 6) AS corr FROM x"
-                            for i, a in enumerate(CORR) for b in CORR[i + 1:]))
+@query("feature_corr", f"{ROLLED}"
+       + " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, round(abs(corr({a}, {b})) + 3e-8, 6) AS corr FROM r"
+                            for i, a in enumerate(CORR) for b in CORR[i + 1:]).join([" ", ""]))
 def feature_corr(spark, sf):
-    rolled = rolling.rolling_stats(roles.wide(spark, sf), ["click"], stats=("avg",), **ROLL)
+    rolled = rolling.rolling_stats(roles.wide(spark, sf), KEYS, stats=("avg",), **ROLL)
     return rounded(features.correlations(materialize(rolled, "features"), CORR), "corr")
 
 
@@ -499,21 +516,20 @@ def ocsvm_scores(spark, sf):
     return ocsvm.score(v, ocsvm.fit(v, "x", nu=0.05), "x").select("vec_id", "score")
 
 
-def click_sequences(spark, sf):
-    names = ["click_avg_5m", "click_std_5m", "click_avg_30m"]
-    base = materialize(roles.rolled_all(spark, sf).select("host", "bucket", *names), "features")
-    train = base.where(F.col("bucket") < roles.split())
-    scaled = features.scale_columns(base, features.scaler_stats(train, names), names)
-    return names, materialize(rolling.sequences(scaled, names, length=60, width=WIDTH, block=roles.BLOCK), "sequences")
-
-
 @query("seqrecon_scores")
 def seqrecon_scores(spark, sf):
-    names, seq = click_sequences(spark, sf)
-    labelled = intervals.in_any_window(seq, roles.windows(spark, sf), out="y_true", **roles.GRID)
-    normal = labelled.where((F.col("bucket") < roles.split()) & (F.col("y_true") == 0))
-    model = seqrecon.fit(materialize(normal.select("sequence"), "normal"))
-    return seqrecon.score(seq, model, len(names)).select("host", "bucket", "score")
+    """All rolled features of all keys, reduced per row, in sequences of 60 rows."""
+    base = materialize(feature_table(spark, sf), "features")
+    scaler = {r["feature"]: r for r in features.scaler_stats(base.where(F.col("bucket") < roles.split()), FEATURES).collect()}
+    labelled = intervals.in_any_window(base, roles.windows(spark, sf), out="y_true", **roles.GRID)
+    pick = lambda name: [scaler[f][name] for f in FEATURES]
+    keep = ["host", "bucket", "y_true"]
+    x = materialize(bundle.vectors(labelled, FEATURES, pick("mean"), pick("scale"), "mean", keep), "scaled")
+    normal = (F.col("bucket") < roles.split()) & (F.col("y_true") == 0)
+    parts = seqrecon.components(x.where(normal), "x", seqrecon.LATENT)
+    seq = materialize(bundle.reduced_sequences(x, parts, keep, seq_len=60, seq_by="rows", width=WIDTH, block=roles.BLOCK), "sequences")
+    model = seqrecon.fit(seq.where(normal).select("sequence"))
+    return bundle.sequence_scores(seq, model, parts.pc.shape[1], len(FEATURES)).select("host", "bucket", "score")
 
 
 #: Least test rows of a day of hourly buckets on all hosts.

@@ -4,16 +4,20 @@ import datetime as dt
 import glob
 import os
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeflow as tf
 from pulsegrid.operators import matrix as matrix_ops
-from pulsegrid.operators import reports, warehouse
+from pulsegrid.operators import reports, sketches, warehouse
 from pulsegrid.plans import enrich
 from pulsegrid.session import work_path
+from pulsegrid.sources import alarms as alarm_days
 from pulsegrid.sources import chunks, labels, monitoring, results
 
+T0 = dt.datetime(2026, 1, 1)
 HISTORY = "itemid bigint, clock bigint, value double, ns int"
 
 
@@ -169,3 +173,60 @@ def test_feature_matrix_job(spark):
     # mem is carried over three rows; rows without it are too sparse
     assert rows(out.select("host", "bucket", "cpu", "mem")) == [("h1", at(10, i), float(i), 1.0) for i in range(4)]
     assert out.first()["chunk_id"] == f"chunk_{int(at(10).replace(tzinfo=dt.timezone.utc).timestamp())}_{int(at(11).replace(tzinfo=dt.timezone.utc).timestamp())}"
+
+
+def _alarm_rows(spark, rows):
+    return spark.createDataFrame([(i, h, T0 + dt.timedelta(hours=t)) for i, h, t in rows], "eventid bigint, host string, alarm_ts timestamp_ntz")
+
+
+def test_alarm_days_read_one_day_and_one_carry(spark):
+    root = work_path(spark, "t-alarms")
+    rows = [(1, "a", 1), (2, "a", 30), (3, "b", 2), (4, "a", 100), (5, "b", 101), (6, "c", 200)]
+    for part in (rows[:2], rows[3:5], rows[5:], rows[2:3], rows[2:3]):  # the last two: late, and repeated
+        alarm_days.add(_alarm_rows(spark, part), root)
+    for first, last in ((0, 0), (1, 1), (2, 2), (3, 4), (4, 4), (5, 7), (8, 8), (20, 21)):
+        days = [(T0 + dt.timedelta(days=d)).strftime("%Y-%m-%d") for d in (first, last)]
+        got = alarm_days.between(spark, root, *days)
+        best = {}
+        for r in got.collect():
+            best.setdefault(r["host"], []).append((r["alarm_ts"] - T0).total_seconds() / 3600)
+        for host in "abc":
+            mine = [t for _, h, t in rows if h == host]
+            inside = {t for t in mine if first * 24 <= t < (last + 1) * 24}
+            before = max((t for t in mine if t < first * 24), default=None)
+            assert inside <= set(best.get(host, []))
+            assert max((t for t in best.get(host, []) if t < first * 24), default=None) == before, (first, host)
+    one = alarm_days.between(spark, root, "2026-01-05", "2026-01-05")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and "2026-01-05" in plan and "2026-01-09" not in plan
+    files = {f.split("day=")[1].split("/")[0] for f in one.inputFiles()}
+    assert files == {"2026-01-05"}
+
+
+def test_archive_moves_whole_days_once(spark):
+    path, archive = work_path(spark, "t-days"), work_path(spark, "t-archive")
+    rows = [(h, T0 + dt.timedelta(days=d)) for d in range(6) for h in ("a", "b", None)]
+    df = spark.createDataFrame(rows, "host string, bucket timestamp_ntz").withColumn("day", F.date_format("bucket", "yyyy-MM-dd"))
+    df.write.partitionBy("day").parquet(path)
+    untouched = {f for f in spark.read.parquet(path).inputFiles() if "day=2026-01-05" in f}
+    assert warehouse.archive_days(spark, path, archive, "2025-01-01").count() == 0
+    assert {r["day"]: r["archived"] for r in warehouse.archive_days(spark, path, archive, "2026-01-03").collect()} == {"2026-01-01": 3, "2026-01-02": 3}
+    assert warehouse.archive_days(spark, path, archive, "2026-01-04").count() == 1
+    assert spark.read.parquet(path).count() == 9 and spark.read.parquet(archive).count() == 9
+    assert untouched <= set(spark.read.parquet(path).inputFiles())
+
+
+def test_sketches_of_days_merge_within_their_bound(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.lognormal(0, 2, 40_000), np.full(20_000, 3.0)])
+    rows = spark.createDataFrame(pd.DataFrame({"m": "a", "i": np.arange(len(x)) % 9, "x": x})).select(
+        "m", F.when(F.col("x") > 0, F.col("x")).alias("x"), tf.plus_seconds(tf.ntz("2026-01-01 00:00:00"), F.col("i") * tf.DAY).alias("bucket"))
+    rows = rows.unionByName(spark.createDataFrame([("a", None), ("a", float("nan")), (None, 1.0)], "m string, x double").withColumn("bucket", tf.ntz("2026-01-01 00:00:00")))
+    for size in (200, 4000):
+        daily = sketches.daily(rows, ["m"], "x", size=size)
+        assert daily.count() == 9
+        for r in sketches.quantiles(daily.where("day < '2026-01-06'"), ["m"], [0.01, 0.5, 0.9, 0.999], size).collect():
+            own = np.sort(x[np.arange(len(x)) % 9 < 5])
+            assert r["n"] == len(own)
+            low, high = np.searchsorted(own, r["quantile"], "left") / len(own), np.searchsorted(own, r["quantile"], "right") / len(own)
+            assert low - r["rank_error"] <= r["prob"] <= high + r["rank_error"], r
