@@ -154,18 +154,13 @@ def triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def own_kernels(s: np.ndarray, places: tuple[np.ndarray, ...]) -> np.ndarray:
     """Kernel with itself of each row of strings of one length."""
-    i, j, k, weight = places
+    weight = places[-1]
     out = np.full(len(s), weight @ weight)
     ordered = np.sort(s, axis=1)
     again = np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(1))
     if len(again):  # characters that repeat may give one subsequence several times
-        x = s[again].astype(np.int64)
-        code = ((x[:, i] << 8 | x[:, j]) << 8 | x[:, k]) + (np.arange(len(x))[:, None] << 24)
-        order = np.argsort(code, axis=None)
-        c = code.reshape(-1)[order]
-        first = np.flatnonzero(np.concatenate(([True], np.diff(c) != 0)))
-        total = np.add.reduceat(np.tile(weight, len(x))[order], first)
-        out[again] = np.bincount(c[first] >> 24, total * total, minlength=len(x))
+        x = s[again].astype(np.int16)
+        out[again] = raw_kernel(x, x)
     return out
 
 
@@ -174,9 +169,9 @@ class Triples:
 
     def __init__(self, landmarks: list[bytes]) -> None:
         alphabet = sorted(set(b"".join(landmarks)))
-        self.n, self.letter = len(alphabet) + 1, np.zeros(256, np.int64)
+        self.n, self.letter = len(alphabet) + 1, np.zeros(256, np.int32)
         self.letter[alphabet] = np.arange(1, self.n)
-        self.table = np.zeros(self.n ** 3, np.int64)  # 0: in no landmark
+        self.table = np.zeros(self.n ** 3, np.int32)  # 0: in no landmark
         values: list[dict[int, float]] = []
         for x in landmarks:
             i, j, k, weight = triples(len(x))
@@ -206,24 +201,57 @@ class Triples:
             x = s[a:a + piece]
             f = self.table[self.codes(x, i, j, k)]
             row, t = np.nonzero(f)
-            rows, at = np.unique(row, return_inverse=True)
-            if len(rows):
-                found = np.bincount(at * size + f[row, t], weight[t], minlength=len(rows) * size).reshape(len(rows), size)
-                out[a + rows] = found.astype(np.float32) @ self.values / np.sqrt(own_kernels(x[rows], places))[:, None]
+            if not len(row):
+                continue
+            first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+            rows, code = row[first], f[row, t]
+            if len(code) * 8 < len(rows) * size:
+                found = self._sums(code, weight.astype(np.float32)[t], first)
+            else:  # long strings meet most codes
+                at = np.repeat(np.arange(len(rows)), np.diff(np.append(first, len(row))))
+                found = np.bincount(at * size + code, weight[t], minlength=len(rows) * size).reshape(len(rows), size).astype(np.float32) @ self.values
+            out[a + rows] = found / np.sqrt(own_kernels(x[rows], places))[:, None]
         return out
 
+    def _sums(self, code: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Weighted sums of the values of runs of codes: the first of all runs, then
+        the second of all that have one, and so on."""
+        count = np.diff(np.append(first, len(code)))
+        order = np.argsort(-count, kind="stable")
+        begin, most = first[order], -count[order]
+        total = np.zeros((len(first), self.values.shape[1]), np.float32)
+        for k in range(int(count.max())):
+            at = begin[:np.searchsorted(most, -k)] + k
+            total[:len(at)] += self.values[code[at]] * weight[at, None]
+        out = np.empty_like(total)
+        out[order] = total
+        return out
+
+
+def distinct(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of bytes, and which of them each row is."""
+    n, width = windows.shape
+    if width > 8:
+        kinds, back = np.unique(windows.view(f"V{width}").reshape(-1), return_inverse=True)
+        return kinds.view(np.uint8).reshape(-1, width), back
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = windows
+    kinds, back = np.unique(wide.view(np.uint64).reshape(-1), return_inverse=True)
+    return kinds.view(np.uint8).reshape(-1, 8)[:, :width], back
+
 
 class Matcher:
-    """Matches of strings with landmarks; strings compared before are remembered,
-    up to ``KEEP`` of them."""
+    """Matches of strings with landmarks.  The first ``KEEP`` strings that a Python
+    worker meets, and with them nearly all common ones, are compared once."""
 
-    KEEP = 60_000
+    KEEP = 150_000
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks, self.all = landmarks, Triples(landmarks)
         sizes = np.array([len(x) for x in landmarks])
         self.by_size = [(n, np.flatnonzero(sizes == n), Triples([x for x in landmarks if len(x) == n])) for n in sorted(set(sizes.tolist()))]
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, int] = {}  # row in values
+        self.values = np.zeros((0, len(landmarks)), np.float32)
 
     def _windows(self, out: np.ndarray, where: np.ndarray, data: np.ndarray, n: int) -> None:
         """Best match of windows of strings, the rows of ``data``: of a landmark's
@@ -239,8 +267,8 @@ class Matcher:
                 for a in range(0, len(starts), each):
                     own = np.lib.stride_tricks.sliding_window_view(data, width, axis=1)[:, starts[a:a + each]]
                     flat = np.ascontiguousarray(own).reshape(-1, width)
-                    kinds, back = np.unique(flat.view(f"V{width}").reshape(-1), return_inverse=True)
-                    value = some.of(kinds.view(np.uint8).reshape(-1, width))
+                    kinds, back = distinct(flat)
+                    value = some.of(kinds)
                     for k, column in enumerate(at.tolist()):
                         best = value[:, k][back].reshape(len(data), -1).max(1)
                         out[where, column] = np.maximum(out[where, column], best)
@@ -262,17 +290,24 @@ class Matcher:
 
     def table(self, strings: list[bytes]) -> np.ndarray:
         """Kernels of all strings with all landmarks."""
-        if len(self.known) > self.KEEP:
-            self.known.clear()
-        new = [x for x in strings if x not in self.known]
-        value = self.compared(new)
-        place = {x: i for i, x in enumerate(new)}
-        out = np.zeros((len(strings), len(self.landmarks)), np.float32)
-        for i, x in enumerate(strings):
-            out[i] = value[place[x]] if x in place else self.known[x]
-        for x, v in zip(new[:max(0, self.KEEP + 1 - len(self.known))], value):
-            if len(x) <= LONGEST:
-                self.known[x] = v.copy()
+        place = np.array([self.known.get(x, -1) for x in strings], np.int64)
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return self.values[place]
+        some = [strings[i] for i in new.tolist()]
+        value = self.compared(some)
+        out = np.empty((len(strings), len(self.landmarks)), np.float32)
+        old = place >= 0
+        out[old], out[new] = self.values[place[old]], value
+        kept = [i for i, x in enumerate(some) if len(x) <= LONGEST][:max(0, self.KEEP - len(self.known))]
+        if kept:
+            at = len(self.known)
+            if at + len(kept) > len(self.values):
+                grown = np.empty((min(self.KEEP, max(2 * len(self.values), at + len(kept))), len(self.landmarks)), np.float32)
+                grown[:at] = self.values[:at]
+                self.values = grown
+            self.values[at:at + len(kept)] = value[kept]
+            self.known.update(zip([some[i] for i in kept], range(at, at + len(kept))))
         return out
 
 
