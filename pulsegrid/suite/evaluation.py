@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import metrics as mx
-from pulsegrid.functions import ratios
 from pulsegrid.functions import timeflow as tf
 from pulsegrid.operators import audit, bundle, evaluate, features, intervals, matrix, reports, rolling, sketches, warehouse
 from pulsegrid.operators.detectors import iforest, ocsvm, seqrecon
@@ -15,9 +14,8 @@ from pulsegrid.plans import retrain
 from pulsegrid.session import materialize, settle, work_path
 from pulsegrid.sources import results
 from pulsegrid.suite import roles
-from pulsegrid.suite.batch import day_chunks
 from pulsegrid.suite.registry import query
-from pulsegrid.suite.roles import COMP, KEYS, PRED, ROLL, ROLLED, SPLIT, WIDE, WIDTH, WIDTHS, rnd, rounded, table
+from pulsegrid.suite.roles import COMP, KEYS, PRED, ROLL, ROLLED, SPLIT, WIDE, WIDTH, WIDTHS, rounded, table
 
 ALERTS = f"{PRED}, al AS (SELECT model, host, bucket, score, threshold FROM p WHERE y_pred = 1)"
 SQL_METRICS = f"{PRED}, met AS {roles.sql_metrics()}"
