@@ -102,11 +102,11 @@ def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     own = np.full(len(words), -1)
     long: dict[int, list[int]] = {}
     for i, x in enumerate(words):
-        x = bare(x)
-        inner = x.translate(None, SIGNS)
+        if not x.isalpha():
+            x = bare(x)
         if len(x) >= ORDER:
             own[i] = put(x)
-        if len(inner) < len(x):
+        if not x.isalpha() and len(inner := x.translate(None, SIGNS)) < len(x):
             parts = {*x.translate(APART).split(), inner}
             long[i] = [put(y) for y in sorted(parts) if len(y) >= ORDER]
     which, where = own[index], row
@@ -156,9 +156,10 @@ def own_kernels(s: np.ndarray, places: tuple[np.ndarray, ...]) -> np.ndarray:
     """Kernel with itself of each row of strings of one length."""
     weight = places[-1]
     out = np.full(len(s), weight @ weight)
-    ordered = np.sort(s, axis=1)
-    again = np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(1))
-    if len(again):  # characters that repeat may give one subsequence several times
+    again = np.zeros(len(s), bool)
+    for gap in range(1, s.shape[1]):
+        again |= (s[:, gap:] == s[:, :-gap]).any(1)
+    if again.any():  # characters that repeat may give one subsequence several times
         x = s[again].astype(np.int16)
         out[again] = raw_kernel(x, x)
     return out
@@ -181,11 +182,17 @@ class Triples:
             values.append(sums)
         codes = sorted(set().union(*values))
         self.table[codes] = np.arange(1, len(codes) + 1)
-        self.values = np.zeros((len(codes) + 1, len(landmarks)), np.float32)
+        # Few landmarks share a triple: of each the first of its entries, and how many.
+        place = {code: at for at, code in enumerate(codes)}
+        entries = []
         for at, sums in enumerate(values):
             own = sum(v * v for v in sums.values()) ** 0.5
-            for code, v in sums.items():
-                self.values[self.table[code], at] = v / own
+            entries += [(place[code], at, v / own) for code, v in sums.items()]
+        entries.sort()
+        self.count = np.bincount([e[0] for e in entries], minlength=len(codes))
+        self.first = np.cumsum(self.count) - self.count
+        self.landmark, self.value = np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries])
+        self.size = len(landmarks)
 
     def codes(self, s: np.ndarray, i: np.ndarray, j: np.ndarray, k: np.ndarray) -> np.ndarray:
         x = self.letter[s]
@@ -193,38 +200,21 @@ class Triples:
 
     def of(self, s: np.ndarray) -> np.ndarray:
         """Normalised kernels of the rows of strings of one length with all landmarks."""
-        out = np.zeros((len(s), self.values.shape[1]), np.float32)
+        out = np.zeros((len(s), self.size), np.float32)
         places = triples(s.shape[1])
         i, j, k, weight = places
-        size, piece = len(self.values), max(1, min((1 << 19) // len(i), (1 << 21) // len(self.values)))
+        piece = max(1, (1 << 19) // len(i))
         for a in range(0, len(s), piece):
             x = s[a:a + piece]
             f = self.table[self.codes(x, i, j, k)]
             row, t = np.nonzero(f)
-            if not len(row):
-                continue
-            first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-            rows, code = row[first], f[row, t]
-            if len(code) * 8 < len(rows) * size:
-                found = self._sums(code, weight.astype(np.float32)[t], first)
-            else:  # long strings meet most codes
-                at = np.repeat(np.arange(len(rows)), np.diff(np.append(first, len(row))))
-                found = np.bincount(at * size + code, weight[t], minlength=len(rows) * size).reshape(len(rows), size).astype(np.float32) @ self.values
-            out[a + rows] = found / np.sqrt(own_kernels(x[rows], places))[:, None]
-        return out
-
-    def _sums(self, code: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Weighted sums of the values of runs of codes: the first of all runs, then
-        the second of all that have one, and so on."""
-        count = np.diff(np.append(first, len(code)))
-        order = np.argsort(-count, kind="stable")
-        begin, most = first[order], -count[order]
-        total = np.zeros((len(first), self.values.shape[1]), np.float32)
-        for k in range(int(count.max())):
-            at = begin[:np.searchsorted(most, -k)] + k
-            total[:len(at)] += self.values[code[at]] * weight[at, None]
-        out = np.empty_like(total)
-        out[order] = total
+            code = f[row, t] - 1
+            times = self.count[code]
+            entry = np.repeat(self.first[code] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            slot = np.repeat(row * self.size, times) + self.landmark[entry]
+            found = np.bincount(slot, np.repeat(weight[t], times) * self.value[entry], minlength=len(x) * self.size).reshape(len(x), -1)
+            rows = np.flatnonzero(np.bincount(row, minlength=len(x)))
+            out[a + rows] = found[rows] / np.sqrt(own_kernels(x[rows], places))[:, None]
         return out
 
 
@@ -322,12 +312,12 @@ def features(texts: pa.Array, landmarks: list[bytes]) -> np.ndarray:
     if not strings:
         return out
     table = matcher(tuple(landmarks)).table(strings)
-    pairs = np.unique(np.stack((where, which), 1), axis=0)
+    pairs = np.unique(where * len(strings) + which)
     for a in range(0, len(pairs), 1 << 15):
-        p = pairs[a:a + (1 << 15)]
-        first = np.flatnonzero(np.concatenate(([True], np.diff(p[:, 0]) > 0)))
-        own = p[first, 0]
-        out[own] = np.maximum(out[own], np.maximum.reduceat(table[p[:, 1]], first, axis=0))
+        text, string = np.divmod(pairs[a:a + (1 << 15)], len(strings))
+        first = np.flatnonzero(np.concatenate(([True], np.diff(text) > 0)))
+        own = text[first]
+        out[own] = np.maximum(out[own], np.maximum.reduceat(table[string], first, axis=0))
     return out
 
 
