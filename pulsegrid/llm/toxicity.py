@@ -91,21 +91,20 @@ def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     row = w.row()
     place: dict[bytes, int] = {}
-    strings: list[bytes] = []
 
     def put(x: bytes) -> int:
-        if x not in place:
-            place[x] = len(strings)
-            strings.append(x)
-        return place[x]
+        return place.setdefault(x, len(place))
 
     own = np.full(len(words), -1)
     long: dict[int, list[int]] = {}
     for i, x in enumerate(words):
-        if not x.isalpha():
-            x = bare(x)
+        if x.isalpha():
+            if len(x) >= ORDER:
+                own[i] = place.setdefault(x, len(place))
+            continue
+        x = bare(x)
         if len(x) >= ORDER:
-            own[i] = put(x)
+            own[i] = place.setdefault(x, len(place))
         if not x.isalpha() and len(inner := x.translate(None, SIGNS)) < len(x):
             parts = {*x.translate(APART).split(), inner}
             long[i] = [put(y) for y in sorted(parts) if len(y) >= ORDER]
@@ -128,7 +127,7 @@ def candidates(w: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         which = np.concatenate((which, [p for p, _ in extra]))
         where = np.concatenate((where, [r for _, r in extra]))
     kept = which >= 0
-    return strings, which[kept], where[kept]
+    return list(place), which[kept], where[kept]
 
 
 def named(strings: list[bytes], which: np.ndarray, where: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
