@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -145,10 +146,16 @@ def named(strings: list[bytes], which: np.ndarray, where: np.ndarray) -> tuple[l
     return list(place), np.array([p for i in which.tolist() for p in own[i]], np.int64), np.repeat(where, sizes)
 
 
-def triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of all subsequences of three of ``n`` characters, and their weights."""
-    i, j, k = np.array(list(combinations(range(n), ORDER)), np.int64).reshape(-1, ORDER).T
-    return i, j, k, DECAY ** (k - i + 1.0)
+@cache
+def triples(n: int) -> tuple[np.ndarray, ...]:
+    """Pairs (i, j) of places among ``n`` characters; and of all subsequences of three
+    the pair of the first two, the last place, and the weight."""
+    i, j = np.triu_indices(n, 1)
+    pair = {ij: at for at, ij in enumerate(zip(i.tolist(), j.tolist()))}
+    all_three = list(combinations(range(n), ORDER))
+    two = np.array([pair[x[0], x[1]] for x in all_three], np.int64)
+    first, last = (np.array([x[at] for x in all_three], np.int64) for at in (0, 2))
+    return i, j, two, last, DECAY ** (last - first + 1.0)
 
 
 def own_kernels(s: np.ndarray, places: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -174,9 +181,9 @@ class Triples:
         self.table = np.zeros(self.n ** 3, np.int32)  # 0: in no landmark
         values: list[dict[int, float]] = []
         for x in landmarks:
-            i, j, k, weight = triples(len(x))
-            c, sums = self.codes(np.frombuffer(x, np.uint8)[None], i, j, k)[0], {}
-            for code, w in zip(c.tolist(), weight.tolist()):
+            places = triples(len(x))
+            c, sums = self.codes(np.frombuffer(x, np.uint8)[None], places)[0], {}
+            for code, w in zip(c.tolist(), places[-1].tolist()):
                 sums[code] = sums.get(code, 0.0) + w
             values.append(sums)
         codes = sorted(set().union(*values))
@@ -193,19 +200,21 @@ class Triples:
         self.landmark, self.value = np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries])
         self.size = len(landmarks)
 
-    def codes(self, s: np.ndarray, i: np.ndarray, j: np.ndarray, k: np.ndarray) -> np.ndarray:
+    def codes(self, s: np.ndarray, places: tuple[np.ndarray, ...]) -> np.ndarray:
+        i, j, two, last, _ = places
         x = self.letter[s]
-        return (x[:, i] * self.n + x[:, j]) * self.n + x[:, k]
+        pair = (np.take(x, i, 1) * self.n + np.take(x, j, 1)) * self.n
+        return np.take(pair, two, 1) + np.take(x, last, 1)
 
     def of(self, s: np.ndarray) -> np.ndarray:
         """Normalised kernels of the rows of strings of one length with all landmarks."""
         out = np.zeros((len(s), self.size), np.float32)
         places = triples(s.shape[1])
-        i, j, k, weight = places
-        piece = max(1, (1 << 19) // len(i))
+        weight = places[-1]
+        piece = max(1, (1 << 19) // max(1, len(weight)))
         for a in range(0, len(s), piece):
             x = s[a:a + piece]
-            f = self.table[self.codes(x, i, j, k)]
+            f = self.table[self.codes(x, places)]
             row, t = np.nonzero(f)
             code = f[row, t] - 1
             times = self.count[code]
@@ -233,7 +242,7 @@ class Matcher:
     """Matches of strings with landmarks.  The first ``KEEP`` strings that a Python
     worker meets, and with them nearly all common ones, are compared once."""
 
-    KEEP = 150_000
+    KEEP = 200_000
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks, self.all = landmarks, Triples(landmarks)
@@ -476,7 +485,7 @@ def scored(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in chunks(batch, text_col, 1 << 22):
+            for part, texts in chunks(batch, text_col, 1 << 23):
                 value = model.score(features(texts, model.landmarks) if model.landmarks else np.zeros((len(texts), 0)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(value.astype(np.float64))], [*part.schema.names, score_col])
 
