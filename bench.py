@@ -25,6 +25,7 @@ enriched_features incremental_features coverage_gaps sequence_windows feature_va
 event_quantiles quantile_threshold zscore_detector threshold_flags prf_metrics window_comparison detection_latency
 alert_summary comparison_summary metric_reconcile summary_report alert_rate_5m iforest_scores stream_minute_avg
 ocsvm_scores seqrecon_scores retrain_report stream_rolling stream_alerts
+sequence_on_grid asof_by_day archive_days sketch_thresholds fleet_pivot fleet_rolling fleet_asof fleet_labels fleet_quantiles fleet_detector
 """.split()
 
 

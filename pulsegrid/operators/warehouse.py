@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from pulsegrid.functions import timeflow as tf
 
 
+#: Below a table's folder; Spark's readers pass over names that begin like this.
+SCHEMA_FOLDER = "_columns"
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Whole-row replace: a matched row is the new row, and columns only the
     old table has become NULL there; unmatched rows of both sides stay."""
@@ -22,17 +28,51 @@ def evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def remember_schema(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """Keep the columns of a growing table next to its files, so that readers need
+    not open every file's footer.  Columns are only added; returns all known ones."""
+    kept = known_schema(spark, path)
+    known = {f.name for f in kept.fields} if kept else set()
+    more = [StructField(f.name, f.dataType, True) for f in schema.fields if f.name not in known]
+    if kept is not None and not more:
+        return kept
+    every = StructType([*(kept.fields if kept else []), *more])
+    row = spark.createDataFrame([(len(every.fields), every.json())], "columns int, json string")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{SCHEMA_FOLDER}")
+    return every
+
+
+def known_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The remembered columns of a table; None where nothing was remembered."""
+    if not table_exists(spark, f"{path}/{SCHEMA_FOLDER}"):
+        return None
+    rows = spark.read.schema("columns int, json string").parquet(f"{path}/{SCHEMA_FOLDER}")
+    return StructType.fromJson(json.loads(rows.agg(F.max_by("json", "columns").alias("j")).first()["j"]))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A growing table by its remembered columns; one that has none is read with the
+    columns of all its files."""
+    schema = known_schema(spark, path)
+    return spark.read.option("mergeSchema", True).parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+
+
 def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
                       partition: str) -> None:
     """Upsert into a table on disk, rewriting only the partitions that ``new``
     touches.  The merged partitions go to a side path first: a table cannot be
-    overwritten while it is read, and a lost executor must not lose rows."""
+    overwritten while it is read, and a lost executor must not lose rows.
+
+    Partitions are replaced one after the other: a failure in between leaves some of
+    them new and some old until the same call is made again, which is harmless."""
     from pulsegrid.session import materialize
 
     # A batch touches few partitions; as literals they prune the scan.
     touched = [r[0] for r in new.select(partition).distinct().collect()]
-    stored = spark.read.option("mergeSchema", True).parquet(path).where(F.col(partition).isin(touched))
+    stored = read_table(spark, path)
+    stored = stored.withColumn(partition, F.col(partition).cast(new.schema[partition].dataType)).where(F.col(partition).isin(touched))
     merged = materialize(upsert(stored, new, keys), "upsert")
+    remember_schema(spark, path, merged.schema)
     (
         merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
@@ -64,6 +104,7 @@ def load_chunks(spark: SparkSession, chunks: DataFrame, table: str, ledger: str,
         upsert_partitions(spark, table, todo, keys, partition)
     else:
         todo.hint("rebalance", partition).write.partitionBy(partition).parquet(table)
+        remember_schema(spark, table, todo.schema)
     if then is not None and not todo.isEmpty():
         then()
     added = ledger_entries(todo, key)

@@ -163,13 +163,14 @@ def store(spark: SparkSession, path: str, rows: DataFrame) -> None:
         warehouse.upsert_partitions(spark, path, rows, ["host", "bucket"], "day")
     else:
         rows.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+        warehouse.remember_schema(spark, path, rows.schema)
 
 
 def enrich_range(spark: SparkSession, at: Layout, start: int, end: int) -> DataFrame:
     """Enriched rows of [start, end), computed from the stored matrix."""
     begin, stop = tf.from_epoch(F.lit(start)), tf.from_epoch(F.lit(end))
     reach = tf.plus_seconds(begin, -max(ROLLING_WIDTHS) * tf.MINUTE)
-    stored = spark.read.option("mergeSchema", True).parquet(at.matrix).where(
+    stored = warehouse.read_table(spark, at.matrix).where(
         (F.col("day") >= F.date_format(reach, DAY_FORMAT)) & (F.col("day") <= F.date_format(stop, DAY_FORMAT))
     )
     out = enrich.enriched_range(stored, metric_columns(stored.columns), alarms_between(spark, at, start, end), windows(spark, at), begin, stop)
@@ -208,7 +209,8 @@ def rebuild(spark: SparkSession, at: Layout, to: Layout) -> DataFrame:
             alarm_days.add(resolved(spark, at, log), to.alarms(table))
     wide = chunk_matrix(spark, at)
     wide.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(to.matrix)
-    stored = spark.read.parquet(to.matrix)
+    warehouse.remember_schema(spark, to.matrix, wide.schema)
+    stored = warehouse.read_table(spark, to.matrix)
     out = enrich.enriched(stored, metric_columns(stored.columns), alarms(spark, at), windows(spark, at))
     (
         out.withColumn("day", F.date_format("bucket", DAY_FORMAT)).hint("rebalance", "day")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.matrix import keep_last
-from pulsegrid.operators.warehouse import table_exists
+from pulsegrid.operators.warehouse import read_table, remember_schema, table_exists
 
 # Which tables a chunk must have, may have, and which snapshots
 # must exist.
@@ -28,6 +28,8 @@ def write_chunks(df: DataFrame, path: str, chunk: str = "chunk_id") -> None:
         df.hint("rebalance", chunk).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(chunk).parquet(path)
     )
+    if table_exists(df.sparkSession, path):
+        remember_schema(df.sparkSession, path, df.schema)
 
 
 def has_chunks(spark: SparkSession, path: str) -> bool:
@@ -38,7 +40,7 @@ def has_chunks(spark: SparkSession, path: str) -> bool:
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """All chunks; an unreadable file is an error, since a chunk that is half
     read would be marked as loaded."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return read_table(spark, path)
 
 
 def ingest(read_range, read_dim, root: str, chunk_id: str) -> bool:

@@ -230,3 +230,20 @@ def test_sketches_of_days_merge_within_their_bound(spark):
             assert r["n"] == len(own)
             low, high = np.searchsorted(own, r["quantile"], "left") / len(own), np.searchsorted(own, r["quantile"], "right") / len(own)
             assert low - r["rank_error"] <= r["prob"] <= high + r["rank_error"], r
+
+
+def test_growing_columns_are_remembered(spark):
+    path = work_path(spark, "t-columns")
+    first = spark.createDataFrame([("a", T0, 1.0, "d1"), ("b", T0, 2.0, "d2")], "host string, bucket timestamp_ntz, x double, day string")
+    first.write.partitionBy("day").parquet(path)
+    assert warehouse.known_schema(spark, path) is None and warehouse.read_table(spark, path).count() == 2
+    more = spark.createDataFrame([("a", T0, 5, "d1"), ("c", T0, 6, "d1")], "host string, bucket timestamp_ntz, y long, day string")
+    warehouse.upsert_partitions(spark, path, more, ["host", "bucket"], "day")
+    got = warehouse.read_table(spark, path)
+    assert set(got.columns) == {"host", "bucket", "x", "y", "day"}
+    assert sorted((r["host"], r["x"], r["y"], r["day"]) for r in got.collect()) == [("a", None, 5, "d1"), ("b", 2.0, None, "d2"), ("c", None, 6, "d1")]
+    # known columns are not written again, and the folder is no data
+    n = len(glob.glob(f"{path.removeprefix('file:')}/{warehouse.SCHEMA_FOLDER}/part-*"))
+    warehouse.upsert_partitions(spark, path, first, ["host", "bucket"], "day")
+    assert len(glob.glob(f"{path.removeprefix('file:')}/{warehouse.SCHEMA_FOLDER}/part-*")) == n
+    assert spark.read.parquet(path).count() == 3
