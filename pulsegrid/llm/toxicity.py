@@ -242,22 +242,28 @@ class Matcher:
     """Matches of strings with landmarks.  The first ``KEEP`` strings that a Python
     worker meets, and with them nearly all common ones, are compared once."""
 
-    KEEP = 200_000
+    KEEP = 120_000
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks, self.all = landmarks, Triples(landmarks)
         sizes = np.array([len(x) for x in landmarks])
         self.by_size = [(n, np.flatnonzero(sizes == n), Triples([x for x in landmarks if len(x) == n])) for n in sorted(set(sizes.tolist()))]
         self.known: dict[bytes, int] = {}  # row in values
-        self.values = np.zeros((0, len(landmarks)), np.float32)
+        self.values = np.empty((self.KEEP, len(landmarks)), np.float32)  # memory comes with use
 
-    def _windows(self, out: np.ndarray, where: np.ndarray, data: np.ndarray, n: int) -> None:
-        """Best match of windows of strings, the rows of ``data``: of a landmark's
+    def _windows(self, out: np.ndarray, every: np.ndarray, strings: np.ndarray, n: int) -> None:
+        """Best match of windows of strings, the rows of ``strings``: of a landmark's
         length at every place, and of twice that, which holds one with characters
         put in, at every half."""
         for size, at, some in self.by_size:
             if 2 * size >= n:
                 break
+            where, data = every, strings
+            if n <= LONGEST:  # what the whole string shares nothing with, no part of it does
+                near = (out[every[:, None], at] > 0).any(1)
+                where, data = every[near], np.ascontiguousarray(strings[near])
+                if not len(where):
+                    continue
             for width, stride in ((size, 1), (2 * size, max(1, size // 2))):
                 starts = np.unique(np.append(np.arange(0, n - width + 1, stride), n - width))
                 # A slice of windows at a time, of many strings or of a long one.
@@ -290,20 +296,15 @@ class Matcher:
         """Kernels of all strings with all landmarks."""
         place = np.array([self.known.get(x, -1) for x in strings], np.int64)
         new = np.flatnonzero(place < 0)
-        if not len(new):
-            return self.values[place]
-        some = [strings[i] for i in new.tolist()]
-        value = self.compared(some)
         out = np.empty((len(strings), len(self.landmarks)), np.float32)
         old = place >= 0
-        out[old], out[new] = self.values[place[old]], value
-        kept = [i for i, x in enumerate(some) if len(x) <= LONGEST][:max(0, self.KEEP - len(self.known))]
-        if kept:
+        out[old] = self.values[place[old]]
+        if len(new):
+            some = [strings[i] for i in new.tolist()]
+            value = self.compared(some)
+            out[new] = value
+            kept = [i for i, x in enumerate(some) if len(x) <= LONGEST][:max(0, self.KEEP - len(self.known))]
             at = len(self.known)
-            if at + len(kept) > len(self.values):
-                grown = np.empty((min(self.KEEP, max(2 * len(self.values), at + len(kept))), len(self.landmarks)), np.float32)
-                grown[:at] = self.values[:at]
-                self.values = grown
             self.values[at:at + len(kept)] = value[kept]
             self.known.update(zip([some[i] for i in kept], range(at, at + len(kept))))
         return out
@@ -485,7 +486,7 @@ def scored(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in chunks(batch, text_col, 1 << 23):
+            for part, texts in chunks(batch, text_col, 1 << 22):
                 value = model.score(features(texts, model.landmarks) if model.landmarks else np.zeros((len(texts), 0)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(value.astype(np.float64))], [*part.schema.names, score_col])
 

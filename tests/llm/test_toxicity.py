@@ -78,3 +78,29 @@ def test_every_value_is_the_kernel():
             if len(w) <= 2 * len(m):
                 assert abs(x[i, j] - plain(w.encode(), m)) < 1e-5
     assert 0 < x[1, 0] < 0.5
+
+
+def test_values_over_all_lengths_and_with_a_full_memo(monkeypatch):
+    """Whole strings up to 32 bytes and windows, by the definition, whether remembered or not."""
+    import random
+
+    from pulsegrid.llm import toxicity
+
+    rng = random.Random(3)
+    marks = [b"abc", b"abcd", b"bacab", b"dabbed", b"abcdabcd"]
+    words = ["".join(rng.choice("abcdxyz") for _ in range(n)) for n in range(3, 45) for _ in range(3)]
+
+    def slow(word, mark):
+        w, n, size = word.encode(), len(word), len(mark)
+        pieces = [w] if n <= 32 else []
+        if 2 * size < n:
+            for width, stride in ((size, 1), (2 * size, max(1, size // 2))):
+                pieces += [w[a:a + width] for a in sorted({*range(0, n - width + 1, stride), n - width})]
+        return max((plain(p, mark) for p in pieces), default=0.0)
+
+    want = np.array([[slow(w, m) for m in marks] for w in words])
+    monkeypatch.setattr(toxicity.Matcher, "KEEP", 20)
+    matcher = toxicity.Matcher(marks)
+    strings = [w.encode() for w in words]
+    assert np.abs(matcher.table(strings[:50]) - want[:50]).max() < 1e-5
+    assert len(matcher.known) == 20 and np.abs(matcher.table(strings) - want).max() < 1e-5
