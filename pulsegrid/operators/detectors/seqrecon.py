@@ -1,7 +1,7 @@
 """Sequence reconstruction: a linear autoencoder over the last steps.
 
 The flattened window of a host is projected on its principal components
-(Spark ML) and back; the score is the mean squared error of the last step only.
+and back; the score is the mean squared error of the last step only.
 """
 
 from __future__ import annotations
@@ -10,12 +10,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, PCAModel
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.dense import added_up, matrix
+
 LATENT = 16
 
 SCHEMA = "position int, mean double, loading array<double>"
@@ -39,11 +38,24 @@ class Parts:
 
 
 def components(vectors: DataFrame, column: str, latent: int) -> Parts:
-    rows = vectors.select(array_to_vector(column).alias("v"))
-    length = len(vectors.select(F.col(column).alias("f")).first()["f"])
-    model: PCAModel = PCA(k=min(latent, length), inputCol="v", outputCol="p").fit(rows)
-    mean = rows.select(Summarizer.mean(rows["v"]).alias("m")).first()["m"].toArray()
-    return Parts(mean, model.pc.toArray())
+    """Leading eigenvectors of the covariance, from one pass that adds up a Gram
+    matrix; its size depends on the length of a vector only.  Signs are fixed, so
+    that a fit can be repeated."""
+    rows = vectors.select(F.col(column).cast("array<double>").alias("x"))
+    d = len(rows.first()["x"])
+
+    def add(total: np.ndarray, batch) -> None:
+        x = matrix(batch.column(0))
+        total[0, :d] += x.sum(axis=0)
+        total[0, d] += len(x)
+        total[1:, :d] += x.T @ x
+
+    total = added_up(rows, add, (d + 1, d + 1))
+    n = total[0, d]
+    mean = total[0, :d] / n
+    covariance = (total[1:, :d] - n * np.outer(mean, mean)) / max(n - 1, 1)
+    pc = np.linalg.eigh(covariance)[1][:, ::-1][:, :min(latent, d)]
+    return Parts(mean, pc * np.where(pc[np.abs(pc).argmax(axis=0), np.arange(pc.shape[1])] < 0, -1.0, 1.0))
 
 
 def flat(windows: DataFrame, sequence: str = "sequence") -> DataFrame:

@@ -96,6 +96,16 @@ def test_sequence_reconstruction(spark):
     assert top["bucket"] == T0 + dt.timedelta(minutes=550)
 
 
+def test_components_span_the_leading_directions(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (400, 3)) @ rng.normal(0, 1, (3, 8)) + rng.normal(0, 0.01, (400, 8)) + 5
+    parts = seqrecon.components(spark.createDataFrame([([float(v) for v in r],) for r in x], "x array<double>").repartition(5), "x", 3)
+    centred = x - x.mean(axis=0)
+    best = np.linalg.svd(centred, full_matrices=False)[2][:3].T
+    assert np.allclose(parts.mean, x.mean(axis=0)) and np.allclose(parts.pc.T @ parts.pc, np.eye(3))
+    assert np.allclose(parts.pc @ parts.pc.T, best @ best.T, atol=1e-6)
+
+
 def test_metrics_on_zero_denominators(spark):
     rows = spark.createDataFrame([("m", 1.0, 0, 1), ("m", None, 1, 1), ("n", 1.0, 1, 1), ("n", 0.0, 0, 0)], "model string, score double, y_pred int, y_true int")
     got = {r["model"]: (r["precision"], r["recall"], r["f1"], r["n_pred_pos"]) for r in evaluate.prf(rows).collect()}
