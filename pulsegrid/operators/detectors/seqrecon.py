@@ -58,13 +58,20 @@ def components(vectors: DataFrame, column: str, latent: int) -> Parts:
     return Parts(mean, pc * np.where(pc[np.abs(pc).argmax(axis=0), np.arange(pc.shape[1])] < 0, -1.0, 1.0))
 
 
+def normal(train: DataFrame, truth: str = "y_true") -> DataFrame:
+    """The train rows that no window labels.  Where windows cover every row, there
+    is no other behaviour to learn from: then it is all train rows."""
+    own = train.where(F.col(truth) == 0)
+    return train if own.isEmpty() else own
+
+
 def flat(windows: DataFrame, sequence: str = "sequence") -> DataFrame:
     return windows.withColumn("_flat", F.flatten(F.col(sequence)))
 
 
 def fit(windows: DataFrame, *, sequence: str = "sequence", latent: int = LATENT) -> Parts:
     """Components of the train windows.  Windows whose last step is labelled must
-    be left out by the caller."""
+    be left out by the caller (:func:`normal`)."""
     return components(flat(windows, sequence), "_flat", latent)
 
 

@@ -523,10 +523,10 @@ def seqrecon_scores(spark, sf):
     pick = lambda name: [scaler[f][name] for f in FEATURES]
     keep = ["host", "bucket", "y_true"]
     x = materialize(bundle.vectors(labelled, FEATURES, pick("mean"), pick("scale"), "mean", keep), "scaled")
-    normal = (F.col("bucket") < roles.split()) & (F.col("y_true") == 0)
-    parts = seqrecon.components(x.where(normal), "x", seqrecon.LATENT)
+    train = F.col("bucket") < roles.split()
+    parts = seqrecon.components(seqrecon.normal(x.where(train)), "x", seqrecon.LATENT)
     seq = materialize(bundle.reduced_sequences(x, parts, keep, seq_len=60, seq_by="rows", width=WIDTH, block=roles.BLOCK), "sequences")
-    model = seqrecon.fit(seq.where(normal).select("sequence"))
+    model = seqrecon.fit(seqrecon.normal(seq.where(train)).select("sequence"))
     return bundle.sequence_scores(seq, model, parts.pc.shape[1], len(FEATURES)).select("host", "bucket", "score")
 
 
