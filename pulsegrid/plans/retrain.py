@@ -80,11 +80,14 @@ def fit(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
     # A sequence repeats every value seq_len times.  All selected features are first
     # reduced to a few per row, sequences are built of these, and what the first
     # step loses counts in the score.
-    row_parts = seqrecon.components(fit_rows.where("y_true = 0"), "x", s.row_latent)
+    row_parts = seqrecon.components(seqrecon.normal(fit_rows), "x", s.row_latent)
     keep = [*s.row_key, "side", "y_true"]
     sequences = bundle.reduced_sequences(x, row_parts, keep, seq_len=s.seq_len, seq_by=s.seq_by, width=s.width, block=s.block)
-    normal = materialize(sequences.where("side = 'train' AND y_true = 0").select("sequence"), "sequences")
-    sequence_parts = seqrecon.fit(normal)
+    own = sequences.where("side = 'train'")
+    normal = materialize(own.where("y_true = 0").select("sequence"), "sequences")
+    # as in seqrecon.normal, without storing sequences that are not learned from
+    all_labelled = normal.isEmpty()
+    sequence_parts = seqrecon.fit(materialize(own.select("sequence"), "sequences") if all_labelled else normal)
 
     forest = materialize(iforest.fit(fit_rows, "x", s.row_key, trees=s.trees), "forest")
     test = F.col("side") == "test"
@@ -94,8 +97,8 @@ def fit(wide: DataFrame, metrics: Sequence[str], windows: DataFrame, split: Colu
         F.lit(iforest.SAMPLE).alias("sample"), F.lit(float(boundary.rho)).alias("rho"), split.alias("split"), "test_min", "test_max")
     models = bundle.Bundle(spec.first(), selected, column("mean"), column("std"), column("scale"), forest, boundary, row_parts, sequence_parts)
     scores = materialize(bundle.score(models, rows, SCORED), "scores")
-    # labelled rows are left out of the sequence model's threshold
-    base = scores.where("side = 'train' AND NOT (model = 'sequence' AND y_true = 1)")
+    # labelled rows are left out of the sequence model's threshold, unless all are
+    base = scores.where("side = 'train'" if all_labelled else "side = 'train' AND NOT (model = 'sequence' AND y_true = 1)")
     limits = evaluate.thresholds(base, [s.thr_quantile, s.seq_quantile]).where(
         F.col("prob") == F.when(F.col("model") == bundle.SEQUENCE, s.seq_quantile).otherwise(s.thr_quantile)
     )
